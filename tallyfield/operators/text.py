@@ -36,7 +36,7 @@ def tokens(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     escaped = "".join("\\" + c if c in "-.|" else c for c in SEPARATORS)
     raw = df.select(*keep, F.explode(F.split(F.col(text), f"[{escaped}]+")).alias("token"))
     bare = F.btrim(F.btrim(F.col("token"), F.lit(PUNCTUATION)), F.lit(DIGITS))
-    token = F.lower(F.translate(bare, REMOVED, ""))
+    token = F.lower(F.replace(bare, F.lit(REMOVED), F.lit("")))
     return raw.select(*keep, token.alias("token")).filter(F.col("token") != "")
 
 

@@ -14,7 +14,7 @@ from tallyfield.operators import metrics, models
 from tallyfield.operators.features import feature_stages, index_map, slots
 from tallyfield.operators.joins import match
 from tallyfield.operators.sampling import hash_bucket, keyed_split
-from tallyfield.sources import load_table
+from tallyfield.sources import load_table, spread
 
 # ---- features ---------------------------------------------------------------------------------
 
@@ -116,7 +116,7 @@ FOLDS = 3
 
 def planted_rows(spark, sf):
     """Line items with a label 0, 1 or 2 that follows quantity, flag and status."""
-    items = load_table(spark, sf, "lineitem").select(*ROW_KEY, *NUMERIC, *CATEGORICAL)
+    items = spread(load_table(spark, sf, "lineitem").select(*ROW_KEY, *NUMERIC, *CATEGORICAL))
     level = (
         F.col("l_quantity") / 50
         + F.when(F.col("l_returnflag") == "R", 0.5).otherwise(0.0)

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators import text
 from tallyfield.operators.aggregates import top_k
-from tallyfield.sources import load_table, local_rows
+from tallyfield.sources import load_table, local_rows, spread
 
 
 def words(spark, sf):
-    return text.tokens(load_table(spark, sf, "documents"), "text")
+    return text.tokens(spread(load_table(spark, sf, "documents").select("text")), "text")
 
 
 def stop_words(spark):

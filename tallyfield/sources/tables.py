@@ -13,6 +13,16 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small table one partition per core before work that is heavy per row.
+
+    A table whose scan already has that many partitions is returned as it is, so large tables
+    are never shuffled for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, n) for every table, counted in one job."""
     counts = [
