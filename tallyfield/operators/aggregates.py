@@ -117,9 +117,12 @@ def share_of_total(
 
 
 def class_share(df: DataFrame, *keys: str, digits: int = 4) -> DataFrame:
-    """(keys, n, share) with the share taken of all rows."""
-    total = df.agg(F.count("*").alias("total"))
-    return share_of_total(count_by(df, *keys), total, digits=digits)
+    """(keys, n, share) with the share taken of all rows.
+
+    The total adds up the counts themselves, so their shuffle is reused and ``df`` is read once.
+    """
+    counts = count_by(df, *keys)
+    return share_of_total(counts, counts.agg(F.sum("n")), digits=digits)
 
 
 def distinct_count_frequency(

@@ -63,6 +63,15 @@ def top_with_lookup(
     return lookup(best, wanted, on).orderBy(*order).limit(k)
 
 
+def with_status(flagged: DataFrame, exits: Sequence[str]) -> DataFrame:
+    """Add is_current and is_former to rows with ``enrolled`` and one flag per exit set."""
+    left = reduce(lambda a, b: a | b, [F.col(name) for name in exits])
+    return flagged.withColumns({
+        "is_current": F.col("enrolled") & ~left,
+        "is_former": F.col("enrolled") & left,
+    })
+
+
 def cohort_flags(
     members: DataFrame, key: str, activity: DataFrame, exits: Mapping[str, DataFrame]
 ) -> DataFrame:
@@ -75,11 +84,23 @@ def cohort_flags(
     for name, frame in {"enrolled": activity, **exits}.items():
         keys = frame.select(key).distinct().withColumn(name, F.lit(True))
         flagged = lookup(flagged, keys, key).withColumn(name, F.coalesce(name, F.lit(False)))
-    left = reduce(lambda a, b: a | b, [F.col(name) for name in exits])
-    return flagged.withColumns({
-        "is_current": F.col("enrolled") & ~left,
-        "is_former": F.col("enrolled") & left,
-    })
+    return with_status(flagged, list(exits))
+
+
+def cohort_flags_from_events(
+    members: DataFrame, key: str, events: DataFrame, conditions: Mapping[str, Column]
+) -> DataFrame:
+    """The same flags where all key sets are conditions on one event table.
+
+    ``conditions`` maps 'enrolled' and each exit to its condition. The events are read once and
+    combined per key, instead of once per key set.
+    """
+    relevant = reduce(lambda a, b: a | b, conditions.values())
+    per_key = events.filter(relevant).groupBy(key).agg(
+        *[F.bool_or(condition).alias(name) for name, condition in conditions.items()])
+    flags = {name: F.coalesce(name, F.lit(False)) for name in conditions}
+    flagged = lookup(members, per_key, key).withColumns(flags)
+    return with_status(flagged, [name for name in conditions if name != "enrolled"])
 
 
 def cohort_sizes(

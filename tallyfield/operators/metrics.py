@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfield.sources.generators import local_rows
+
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """(n, n_correct, accuracy)."""
@@ -26,8 +28,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, labels: Sequenc
 
     Listing the labels keeps the pivot to one job; a listed label without rows has a row of zeros.
     """
-    spark = df.sparkSession
-    rows = spark.createDataFrame([(value,) for value in labels], "actual INT")
+    rows = local_rows(df.sparkSession, [[value] for value in labels], "actual INT")
     cells = df.groupBy(F.col(label).cast("int").alias("actual")).agg(*[
         F.count_if(F.col(prediction) == F.lit(value)).alias(f"predicted_{value}")
         for value in labels

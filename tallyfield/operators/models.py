@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.operators.sampling import hash_bucket
+from tallyfield.sources.generators import local_rows
 
 # Full search grids.
 BINARY_REG = (0.0001, 0.001, 0.01, 0.1, 1.0)
@@ -60,13 +61,23 @@ def cross_validate(
         estimator=estimator, estimatorParamMaps=grid, evaluator=accuracy_evaluator(label),
         numFolds=folds, foldCol=FOLD, parallelism=parallelism,
     )
-    folded = df.withColumn(FOLD, hash_bucket(keys, folds, seed)).persist()
+    folded = df.select(
+        label, estimator.getFeaturesCol(), hash_bucket(keys, folds, seed).alias(FOLD)).persist()
     try:
         return validator.fit(folded)
     finally:
         folded.unpersist()
 
 
+def fit(df: DataFrame, estimator):
+    """Fit on cached rows: training reads them many times, the columns it needs only."""
+    rows = df.select(estimator.getLabelCol(), estimator.getFeaturesCol()).persist()
+    try:
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def accuracy_evaluator(label: str, prediction: str = "prediction") -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(
         labelCol=label, predictionCol=prediction, metricName="accuracy")
@@ -81,7 +92,7 @@ def cv_summary(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
         (*[float(value) for value in setting.values()], float(accuracy))
         for setting, accuracy in zip(maps, model.avgMetrics)
     ]
-    return spark.createDataFrame(rows, ddl)
+    return local_rows(spark, rows, ddl)
 
 
 def cv_best(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
@@ -105,7 +116,7 @@ def importances(spark: SparkSession, model, features: Sequence[str]) -> DataFram
     if len(values) != len(features):
         raise ValueError("one name per feature slot is needed; use the index-based vector")
     rows = [(name, float(value)) for name, value in zip(features, values)]
-    return spark.createDataFrame(rows, "feature STRING, importance DOUBLE")
+    return local_rows(spark, rows, "feature STRING, importance DOUBLE")
 
 
 def leaf_counts(model, df: DataFrame, leaf: str = "leaf") -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tallyfield.functions import presets, bin_label, ratio
 from tallyfield.operators.aggregates import class_share, count_by, weighted_mean_by
 from tallyfield.operators.joins import (
-    cohort_flags, cohort_sizes, drop_in, first_period_rows, keep_in, match, outer_rate, rate_per_bin,
+    cohort_flags_from_events, cohort_sizes, drop_in, first_period_rows, keep_in, match, outer_rate,
+    rate_per_bin,
 )
 from tallyfield.plans.relational import SCORE_SQL, order_scores
 from tallyfield.sources import load_table
@@ -29,22 +30,33 @@ def members(spark, sf):
         F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
 
 
+def known_orders(spark, sf):
+    return load_table(spark, sf, "orders").filter(F.col("o_custkey").isNotNull())
+
+
 def activity(spark, sf):
-    return load_table(spark, sf, "orders").filter(
-        F.col("o_orderdate") >= ENROLLED_FROM).select("o_custkey")
+    return known_orders(spark, sf).filter(F.col("o_orderdate") >= ENROLLED_FROM).select("o_custkey")
 
 
-def exits(spark, sf):
-    orders = load_table(spark, sf, "orders")
+def exit_conditions():
     return {
-        name: orders.filter((F.col("o_orderstatus") == status) & (F.col("o_orderdate") >= since))
-        .select("o_custkey").distinct()
+        name: (F.col("o_orderstatus") == status) & (F.col("o_orderdate") >= since)
         for name, (status, since) in EXITS.items()
     }
 
 
+def exits(spark, sf):
+    orders = known_orders(spark, sf)
+    return {
+        name: orders.filter(condition).select("o_custkey").distinct()
+        for name, condition in exit_conditions().items()
+    }
+
+
 def flags(spark, sf):
-    return cohort_flags(members(spark, sf), "o_custkey", activity(spark, sf), exits(spark, sf))
+    conditions = {"enrolled": F.col("o_orderdate") >= ENROLLED_FROM, **exit_conditions()}
+    return cohort_flags_from_events(
+        members(spark, sf), "o_custkey", known_orders(spark, sf), conditions)
 
 
 def current(spark, sf):

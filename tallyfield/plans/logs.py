@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators import logs
 from tallyfield.operators.aggregates import count_by, substring_counts, top_k
-from tallyfield.sources import load_table, read_lines, scratch_dir, write_lines
+from tallyfield.sources import load_table, read_lines, scratch_dir, spread, write_lines
 
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -21,7 +21,8 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("200")
     )
     size = F.when(value < 10, "-").otherwise(F.round(value * 100).cast("bigint").cast("string"))
-    return load_table(spark, sf, "events").select(F.concat(
+    events = spread(load_table(spark, sf, "events").drop("event_id"))
+    return events.select(F.concat(
         F.lit("u"), F.col("user_id").cast("string"),
         F.lit(" ["), F.date_format("ts", "dd:HH:mm:ss"),
         F.lit(' "'), F.upper(kind),

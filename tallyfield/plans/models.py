@@ -137,12 +137,14 @@ def prepared(spark, sf):
 
 
 def lr_search(train):
-    search = models.logistic_search(LABEL, "features_lr", reg=(0.001, 0.1), elastic_net=(0.0, 1.0), maxIter=20)
+    search = models.logistic_search(
+        LABEL, "features_lr", reg=(0.001, 0.1), elastic_net=(0.0, 1.0), maxIter=10)
     return models.cross_validate(train, search, LABEL, ROW_KEY, folds=FOLDS)
 
 
 def dt_search(train):
-    search = models.tree_search(LABEL, "features_dt", depth=(3, 6), min_instances=(1, 4), maxBins=64)
+    search = models.tree_search(
+        LABEL, "features_dt", depth=(3, 6), min_instances=(1, 4), maxBins=64)
     return models.cross_validate(train, search, LABEL, ROW_KEY, folds=FOLDS)
 
 
@@ -163,14 +165,14 @@ def cv_best(spark, sf):
 
 def fitted_tree(train):
     (tree, _) = models.tree_search(LABEL, "features_dt", maxBins=64)
-    return tree.setMaxDepth(6).fit(train)
+    return models.fit(train, tree.setMaxDepth(6))
 
 
 def score_new_rows(spark, sf):
     """Probabilities of the held-out rows."""
     train, held_out = prepared(spark, sf)
     (lr, _) = models.logistic_search(LABEL, "features_lr", maxIter=20)
-    return models.score(lr.setRegParam(0.001).fit(train), held_out, ROW_KEY, digits=6)
+    return models.score(models.fit(train, lr.setRegParam(0.001)), held_out, ROW_KEY, digits=6)
 
 
 def feature_importance(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators.aggregates import fit_quality, grouped_means, histogram, numeric_summary
 from tallyfield.operators.lines import parse_numbers, parse_records
-from tallyfield.sources import load_table
+from tallyfield.sources import load_table, local_rows
 
 STATS = ("total", "mean", "stdev", "minimum", "maximum")
 
@@ -47,7 +47,7 @@ def line_parse_grouped_mean(spark, sf):
     header = "\t".join(fields)
     part = load_table(spark, sf, "part")
     body = part.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in fields]).alias("line"))
-    lines = spark.createDataFrame([(header,)], "line STRING").unionAll(body)
+    lines = local_rows(spark, [[header]], "line STRING").unionAll(body)
     rows = parse_records(
         lines,
         "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "

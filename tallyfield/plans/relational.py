@@ -123,12 +123,12 @@ def segment_share(spark, sf):
 
 def share_by_dept(spark, sf):
     """Lines of one period per brand. Lines are counted per part before the lookup, so a part
-    with a large share of all lines is one row there."""
+    with a large share of all lines is one row there. The total is taken before the lookup."""
     items = load_table(spark, sf, "lineitem").filter(F.col("l_shipdate") >= SHIPPED_FROM)
     per_part = count_by(items, F.col("l_partkey").alias("p_partkey"), name="n_part")
     brands = load_table(spark, sf, "part").select("p_partkey", "p_brand")
     counts = lookup(per_part, brands, "p_partkey").groupBy("p_brand").agg(F.sum("n_part").alias("n"))
-    total = items.agg(F.count("*").alias("total"))
+    total = per_part.agg(F.sum("n_part"))
     return share_of_total(counts, total).orderBy(F.col("n").desc(), "p_brand")
 
 
