@@ -33,3 +33,8 @@ SEPARATORS = {
     "faculty": ",", "course": ",", "grades": ",", "stroke": ",", "forest_cover": "\t",
     "part": "\t", "events": ",",
 }
+
+
+def column_names(name: str) -> list[str]:
+    """Column names of a registered schema, without a session."""
+    return [column.split()[0] for column in SCHEMAS[name].split(",")]
