@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MAX_CATEGORIES = 10_000
+
 
 def feature_columns(
     columns: Sequence[str], label: str, numeric: Sequence[str] = (), categorical: Sequence[str] = ()
@@ -53,14 +55,39 @@ def feature_stages(
     return Pipeline(stages=stages)
 
 
-def fit_string_index(df: DataFrame, column: str, output: str) -> StringIndexerModel:
+def require_few_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    """Refuse columns with more distinct values than the driver should hold.
+
+    An index model keeps every category on the driver and ships it to each task, so its size must
+    not grow with the rows. One pass over the named columns estimates their distinct values.
+    """
+    if not columns:
+        return
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+    large = {name: n for name, n in sizes.items() if n > limit}
+    if large:
+        raise ValueError(f"too many categories to index: {large}; the limit is {limit}")
+
+
+def fit_features(
+    df: DataFrame, stages: Pipeline, categorical: Sequence[str], limit: int = MAX_CATEGORIES
+) -> PipelineModel:
+    """Fit the stages after checking the number of categories."""
+    require_few_categories(df, categorical, limit)
+    return stages.fit(df)
+
+
+def fit_string_index(
+    df: DataFrame, column: str, output: str, limit: int = MAX_CATEGORIES
+) -> StringIndexerModel:
     """Index the values of a column by falling frequency, equal frequencies alphabetically."""
+    require_few_categories(df, [column], limit)
     return StringIndexer(inputCol=column, outputCol=output).fit(df)
 
 
-def index_map(df: DataFrame, column: str) -> DataFrame:
+def index_map(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> DataFrame:
     """(value, value_index, n) for the values of a column."""
-    model = fit_string_index(df, column, "value_index")
+    model = fit_string_index(df, column, "value_index", limit)
     return (
         model.transform(df.groupBy(column).agg(F.count("*").alias("n")))
         .select(F.col(column).alias("value"), F.col("value_index").cast("int"), "n")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import dense_form, majority, sparse_form
 from tallyfield.operators import metrics, models
-from tallyfield.operators.features import feature_stages, index_map, slots
+from tallyfield.operators.features import feature_stages, fit_features, index_map, slots
 from tallyfield.operators.joins import match
 from tallyfield.operators.sampling import hash_bucket, keyed_split
 from tallyfield.sources import load_table, spread
@@ -25,19 +25,21 @@ def string_index_map(spark, sf):
 
 def one_hot_features(spark, sf):
     part = load_table(spark, sf, "part").select("p_partkey", "p_type", "p_brand")
-    stages = feature_stages([], ["p_type", "p_brand"], one_hot="features").fit(part)
+    names = ["p_type", "p_brand"]
+    stages = fit_features(part, feature_stages([], names, one_hot="features"), names)
     return slots(stages.transform(part), ["p_partkey"], "features")
 
 
 def assembled_features(spark, sf):
     part = load_table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_type")
-    stages = feature_stages(["p_size", "p_retailprice"], ["p_type"], indexed="features").fit(part)
+    stages = fit_features(
+        part, feature_stages(["p_size", "p_retailprice"], ["p_type"], indexed="features"), ["p_type"])
     return slots(stages.transform(part), ["p_partkey"], "features", zeros=True)
 
 
 def sparse_dense_roundtrip(spark, sf):
     part = load_table(spark, sf, "part").select("p_partkey", "p_size", "p_type")
-    stages = feature_stages(["p_size"], ["p_type"], one_hot="features").fit(part)
+    stages = fit_features(part, feature_stages(["p_size"], ["p_type"], one_hot="features"), ["p_type"])
 
     def text(array):
         return F.array_join(F.transform(array, lambda x: x.cast("int").cast("string")), ",")
@@ -131,8 +133,8 @@ def planted_rows(spark, sf):
 def prepared(spark, sf):
     """(training rows, held-out rows) with both feature vectors."""
     rows = planted_rows(spark, sf)
-    stages = feature_stages(NUMERIC, CATEGORICAL, one_hot="features_lr", indexed="features_dt").fit(rows)
-    ready = stages.transform(rows).select(*ROW_KEY, LABEL, "features_lr", "features_dt")
+    stages = feature_stages(NUMERIC, CATEGORICAL, one_hot="features_lr", indexed="features_dt")
+    ready = fit_features(rows, stages, CATEGORICAL).transform(rows).select(*ROW_KEY, LABEL, "features_lr", "features_dt")
     return keyed_split(ready, ROW_KEY, 0.8, seed=3)
 
 

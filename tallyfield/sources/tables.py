@@ -13,14 +13,19 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# At the default split size this many scan partitions hold 8 GB at most.
+SMALL_TABLE_PARTITIONS = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a small table one partition per core before work that is heavy per row.
 
-    A table whose scan already has that many partitions is returned as it is, so large tables
-    are never shuffled for it.
+    A table with enough scan partitions for all cores, or with more than
+    ``SMALL_TABLE_PARTITIONS``, is returned as it is: large tables are never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.rdd.getNumPartitions()
+    return df.repartition(cores) if parts < cores and parts <= SMALL_TABLE_PARTITIONS else df
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

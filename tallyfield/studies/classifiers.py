@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 
 from tallyfield.operators import models
-from tallyfield.operators.features import feature_columns, feature_stages
+from tallyfield.operators.features import feature_columns, feature_stages, fit_features
 from tallyfield.sources.schemas import column_names
 
 LR_FEATURES, TREE_FEATURES = "features_lr", "features_dt"
@@ -31,18 +31,20 @@ class Study:
     depth: Sequence[int]
     min_instances: Sequence[int]
     max_bins: int = 32
+    elastic_net: Sequence[float] = models.ELASTIC_NET
 
     @property
     def features(self) -> list[str]:
         return [*self.numeric, *self.categorical]
 
-    def stages(self, handle_invalid: str = "error") -> Pipeline:
-        """Unfitted stages that add both feature vectors."""
-        return feature_stages(
+    def fit_features(self, rows: DataFrame, handle_invalid: str = "error") -> PipelineModel:
+        """Fitted stages that add both feature vectors; they also prepare new rows."""
+        stages = feature_stages(
             self.numeric, self.categorical, LR_FEATURES, TREE_FEATURES, handle_invalid)
+        return fit_features(rows, stages, self.categorical)
 
     def search_logistic(self, prepared: DataFrame, keys: Sequence[str], **options) -> CrossValidatorModel:
-        search = models.logistic_search(self.label, LR_FEATURES, self.reg)
+        search = models.logistic_search(self.label, LR_FEATURES, self.reg, self.elastic_net)
         return models.cross_validate(prepared, search, self.label, keys, **options)
 
     def search_tree(self, prepared: DataFrame, keys: Sequence[str], **options) -> CrossValidatorModel:

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyfield.operators import metrics, models
-from tallyfield.operators.features import feature_columns, feature_stages, index_map, slots
+from tallyfield.operators.features import feature_columns, feature_stages, fit_features, index_map, slots
 from tallyfield.plans import models as plans
 from tallyfield.sources import local_rows
 
@@ -47,6 +47,15 @@ def test_invalid_rows(spark):
     assert keeping.transform(new).count() == 3
 
 
+def test_too_many_categories_are_refused(spark):
+    df = local_rows(spark, [[c] for c in "abcdef"], "g STRING")
+    with pytest.raises(ValueError):
+        fit_features(df, feature_stages([], ["g"], one_hot="v"), ["g"], limit=3)
+    with pytest.raises(ValueError):
+        index_map(df, "g", limit=3)
+    assert fit_features(df, feature_stages([], ["g"], one_hot="v"), ["g"]).transform(df).count() == 6
+
+
 @pytest.fixture(scope="module")
 def predictions(spark):
     rows = [(0, 0), (0, 0), (0, 1), (1, 1), (1, 0), (2, 1), (2, 0)]

@@ -122,9 +122,9 @@ def test_stroke_study(spark):
         (F.col("id") % 90 > 60).cast("int").alias("stroke"))
     study = classifiers.STROKE
     assert study.features[:3] == ["age", "avg_glucose_level", "bmi"] and len(study.features) == 10
-    fitted = study.stages().fit(base)
+    fitted = study.fit_features(base)
     ready = fitted.transform(base)
-    quick = dataclasses.replace(study, reg=(0.0001, 0.001), depth=(2,), min_instances=(4,))
+    quick = dataclasses.replace(study, reg=(0.001,), elastic_net=(0.0,), depth=(2,), min_instances=(4,))
     search = quick.search_tree(ready, study.features, folds=2)
     assert max(search.avgMetrics) > 0.95
     assert max(quick.search_logistic(ready, study.features, folds=2).avgMetrics) > 0.9
@@ -145,7 +145,7 @@ def test_forest_study(spark):
         F.concat(F.lit("w"), F.col("id") % 4).alias("Wilderness_Area"),
         (F.col("id") % 38).cast("int").alias("Soil_Type"),
         (F.when(F.col("id") % 40 < 10, 1).when(F.col("id") % 40 < 25, 2).otherwise(7)).alias("Cover_Type"))
-    ready = study.stages().fit(rows).transform(rows)
+    ready = study.fit_features(rows).transform(rows)
     quick = dataclasses.replace(study, depth=(4,), min_instances=(1,))
     search = quick.search_tree(ready, study.features, folds=2)
     scored = models.score(search.bestModel, ready, ["Cover_Type"])
