@@ -51,12 +51,15 @@ def fit_quality(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     The spread around the mean comes from the one-pass variance, so the mean need not be known
     before the pass.
     """
-    both = F.col(actual).isNotNull() & F.col(predicted).isNotNull()
-    sums = df.filter(both).agg(
-        F.count("*").alias("n"),
-        F.avg(actual).alias("mean_actual"),
-        F.sum(F.pow(F.col(actual) - F.col(predicted), F.lit(2))).alias("sse"),
-        (F.var_pop(actual) * F.count("*")).alias("sst"),
+    # Incomplete pairs drop out inside the aggregates. A filter would be pushed below the columns
+    # that feed it and compute parsed values twice.
+    error = F.col(actual) - F.col(predicted)
+    paired = F.when(F.col(predicted).isNotNull(), F.col(actual))
+    sums = df.agg(
+        F.count(error).alias("n"),
+        F.avg(paired).alias("mean_actual"),
+        F.sum(F.pow(error, F.lit(2))).alias("sse"),
+        (F.var_pop(paired) * F.count(error)).alias("sst"),
     )
     return sums.withColumn("r2", F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst")))
 

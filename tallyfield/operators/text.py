@@ -36,8 +36,12 @@ def tokens(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     escaped = "".join("\\" + c if c in "-.|" else c for c in SEPARATORS)
     raw = df.select(*keep, F.explode(F.split(F.col(text), f"[{escaped}]+")).alias("token"))
     bare = F.btrim(F.btrim(F.col("token"), F.lit(PUNCTUATION)), F.lit(DIGITS))
-    token = F.lower(F.replace(bare, F.lit(REMOVED), F.lit("")))
-    return raw.select(*keep, token.alias("token")).filter(F.col("token") != "")
+    cleaned = F.lower(F.replace(bare, F.lit(REMOVED), F.lit("")))
+    # A filter on the cleaned token would clean every token a second time. A token with any
+    # character that is never stripped stays for certain, so only the others need the full test.
+    never_stripped = "[^" + "".join("\\" + c for c in PUNCTUATION) + DIGITS + "]"
+    stays = F.col("token").rlike(never_stripped) | (cleaned != "")
+    return raw.filter(stays).select(*keep, cleaned.alias("token"))
 
 
 def word_counts(words: DataFrame, token: str = "token") -> DataFrame:
