@@ -34,19 +34,29 @@ def match(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame
 
 
 def full_match(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Full outer equi-join with one coalesced key column."""
+    """Full outer equi-join with one coalesced key column.
+
+    Neither side of it can be split, so aggregate both sides by the key first.
+    """
     return df.join(other, _keys(on), "full_outer")
 
 
 def keep_in(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys``; duplicates there do not multiply rows."""
-    return df.join(keys, _keys(on), "left_semi")
+    """Rows whose key occurs in ``keys``; duplicates there do not multiply rows.
+
+    The key side of a semi or anti join cannot be split, so it is reduced to distinct keys first:
+    a key that fills a third of it becomes one row per task before the shuffle, and the join then
+    uses the partitioning that the reduction made.
+    """
+    names = _keys(on)
+    return df.join(keys.select(names).distinct(), names, "left_semi")
 
 
 def drop_in(df: DataFrame, on: str | Sequence[str], *key_sets: DataFrame) -> DataFrame:
     """Rows whose key occurs in none of the key sets."""
     names = _keys(on)
-    return reduce(lambda kept, keys: kept.join(keys, names, "left_anti"), key_sets, df)
+    return reduce(
+        lambda kept, keys: kept.join(keys.select(names).distinct(), names, "left_anti"), key_sets, df)
 
 
 def top_with_lookup(
@@ -59,7 +69,7 @@ def top_with_lookup(
     dimension is reduced to their keys before it takes part in the outer join.
     """
     best = measures.orderBy(*order).limit(k)
-    wanted = keep_in(dimension, best.select(on), on)
+    wanted = dimension.join(best.select(on), on, "left_semi")
     return lookup(best, wanted, on).orderBy(*order).limit(k)
 
 

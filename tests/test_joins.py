@@ -102,3 +102,8 @@ def test_a_hot_key_is_split_and_no_row_is_lost(spark):
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     kept = count_by(joins.keep_in(facts, dimension, "k"), "g")
     assert sum(r.n for r in kept.collect()) == expected
+    # The hot side as the key set: it is reduced before it is shuffled.
+    found = joins.keep_in(dimension, facts, "k")
+    assert found.count() == facts.filter("k < 500").select("k").distinct().count()
+    missing = joins.drop_in(dimension, "k", facts)
+    assert missing.count() == dimension.count() - found.count()
