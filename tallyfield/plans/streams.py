@@ -15,9 +15,10 @@ MICRO_BATCHES = 4
 
 
 def event_stream(spark, sf, borrow: bool = False):
-    """The events as a stream of four micro-batches.
+    """(stream of the events in four micro-batches, state partitions to use).
 
     The table is written with the partitions it has; only a table of fewer than four is spread.
+    State needs no more partitions than there are files or cores to fill them.
     """
     events = load_table(spark, sf, "events").select("event_id", "event_type", "user_id", "value")
     files = events.rdd.getNumPartitions()
@@ -26,19 +27,24 @@ def event_stream(spark, sf, borrow: bool = False):
         events = events.repartition(files, "event_id")
     folder = write_delimited(events, scratch_dir(spark, "events"))
     schema = borrow_schema(spark, folder) if borrow else SCHEMAS["events"]
-    return stream_delimited(spark, folder, schema, files_per_trigger=math.ceil(files / MICRO_BATCHES))
+    stream = stream_delimited(
+        spark, folder, schema, files_per_trigger=math.ceil(files / MICRO_BATCHES))
+    useful = max(files, spark.sparkContext.defaultParallelism)
+    return stream, min(int(spark.conf.get("spark.sql.shuffle.partitions")), useful)
 
 
 def stream_type_summary(spark, sf):
     """Event types are few by nature, so the memory sink holds the result."""
-    summary = type_summary(event_stream(spark, sf, borrow=True), "event_type", "value")
-    return run_to_memory(by_count(summary, "event_type"), "type_summary")
+    stream, partitions = event_stream(spark, sf, borrow=True)
+    summary = by_count(type_summary(stream, "event_type", "value"), "event_type")
+    return run_to_memory(summary, "type_summary", partitions)
 
 
 def stream_filtered_totals(spark, sf):
     """Users grow with the data, so the result is written from the executors."""
-    totals = filtered_totals(event_stream(spark, sf), "event_type", "purchase", "user_id", "value")
-    result = run_to_table(totals, "purchase_totals")
+    stream, partitions = event_stream(spark, sf)
+    totals = filtered_totals(stream, "event_type", "purchase", "user_id", "value")
+    result = run_to_table(totals, "purchase_totals", partitions)
     return result.withColumn("total_amount", F.round("total_amount", 2)).orderBy(
         F.col("n").desc(), "user_id")
 

@@ -72,6 +72,16 @@ def test_running_query_can_be_watched_and_stopped(spark, folder):
     assert not query.isActive
 
 
+def test_state_partitions_belong_to_the_query_alone(spark, folder):
+    stream = streaming.stream_delimited(spark, folder, SCHEMAS["events"], files_per_trigger=4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    summary = summaries.type_summary(stream, "event_type", "value")
+    query = streaming.start_memory(summary, f"t_{uuid.uuid4().hex}", True, partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+
+
 def test_empty_source_gives_an_empty_result(spark, tmp_path):
     empty = write_delimited(spark.createDataFrame([], SCHEMAS["events"]), str(tmp_path / "none"))
     stream = streaming.stream_delimited(spark, empty, SCHEMAS["events"])
