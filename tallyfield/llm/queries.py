@@ -5,20 +5,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfield.llm import token_files
+from tallyfield.llm import language_id, token_files, toxicity
+from tallyfield.llm.shipping import shipped
+from tallyfield.llm.tables import crc_bucket
 from tallyfield.sources.scratch import scratch_dir
 from tallyfield.sources.tables import load_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_bucket("doc_id", 3) == 1
+    model = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model) \
+        .select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket("doc_id", 5) == 0
+    model = toxicity.fit(docs, load_table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model) \
+        .select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "token-files")
     token_files.write_tokens(load_table(spark, sf_dir, "documents"), folder, WORD_TOKENIZER)
     return token_files.read_tokens(spark, folder)
 
 
-QUERIES = {
+QUERIES = {name: shipped(plan) for name, plan in {
+    "op1_language_id": op1_language_id,
+    "op5_toxicity": op5_toxicity,
     "op9_token_files": op9_token_files,
-}
+}.items()}
 ORACLE: dict[str, str] = {}
