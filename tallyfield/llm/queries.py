@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfield.llm import language_id, token_files, toxicity
+from tallyfield.llm import embeddings, language_id, simhash, token_files, toxicity
 from tallyfield.llm.shipping import shipped
 from tallyfield.llm.tables import crc_bucket
 from tallyfield.sources.scratch import scratch_dir
@@ -22,6 +22,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(load_table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_bucket("doc_id", 5) == 0
@@ -30,6 +34,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load_table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "token-files")
     token_files.write_tokens(load_table(spark, sf_dir, "documents"), folder, WORD_TOKENIZER)
@@ -38,7 +46,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_language_id": op1_language_id,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_toxicity": op5_toxicity,
+    "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
 }.items()}
 ORACLE: dict[str, str] = {}
