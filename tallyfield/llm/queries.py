@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfield.llm import embeddings, language_id, simhash, token_files, toxicity
+from tallyfield.llm import decontaminate, embeddings, html_text, language_id, mixing, simhash, token_files, toxicity
 from tallyfield.llm.shipping import shipped
 from tallyfield.llm.tables import crc_bucket
 from tallyfield.sources.scratch import scratch_dir
@@ -26,6 +26,12 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(load_table(spark, sf_dir, "embeddings"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.scan(
+        load_table(spark, sf_dir, "documents").select("doc_id", "text"), load_table(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_bucket("doc_id", 5) == 0
@@ -34,6 +40,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(load_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, sf_dir, "documents"))
 
@@ -44,11 +54,18 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_language_id": op1_language_id,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
+    "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
+    "op10_html_text": op10_html_text,
 }.items()}
 ORACLE: dict[str, str] = {}
