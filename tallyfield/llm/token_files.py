@@ -36,8 +36,10 @@ from tallyfield.llm.tables import row_slices
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
-# Distinct words a worker remembers; the memory they take is bounded, the result is not affected.
-REMEMBERED = 400_000
+# Distinct words, and parts of words, that a worker remembers. This bounds its memory; the result
+# is the same for any number.
+WORDS_KEPT = 200_000
+PARTS_KEPT = 700_000
 
 # The normaliser and pre-tokeniser under which words can be encoded apart.
 WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
@@ -112,6 +114,15 @@ class Codes:
         return out
 
 
+def lowered(text: str) -> str:
+    """The text in lower case if every rule of letter case agrees on it, else as it is."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit), as the tokenizer gives them for whole texts.
 
@@ -139,8 +150,8 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._whole(self.tokenizer, texts)
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.words) > REMEMBERED:
+        split = [lowered(t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        if len(self.words) > WORDS_KEPT:
             self.words = {"": b""}
         known = self.words
         self._learn(set().union(*split).difference(known))
@@ -154,11 +165,15 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         plain, other = {}, []
         for word in words:
-            if PLAIN_WORD.fullmatch(word) and not any(s in word for s in self.special):
+            stem = word.rstrip(".,")
+            if stem.isascii() and stem.isalpha():  # the most frequent case, without the patterns
+                stem_only = stem.lower()
+                plain[word] = [stem_only] if len(stem) == len(word) else [stem_only, word[len(stem):]]
+            elif PLAIN_WORD.fullmatch(word) and not any(s in word for s in self.special):
                 plain[word] = PLAIN_SPLIT.findall(word.lower())
             else:
                 other.append(word)
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > PARTS_KEPT:
             self.parts = {}
         new = list({p for parts in plain.values() for p in parts}.difference(self.parts))
         self.parts.update(zip(new, self._whole(self.units, new), strict=True))
