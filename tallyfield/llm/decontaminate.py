@@ -234,3 +234,23 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataF
         "n_hit": n_hit, "n_items": F.size(items).cast("long"),
         "items_sha256": F.sha2(F.array_join(items, ","), 256), "contaminated": F.size(spans) > 0,
     }).drop(*names)
+
+
+# Every place of every document against every window of the same number of words.
+ORACLE = r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT item_id, least(len(w), 10) AS n, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0),
+i AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM p),
+s AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM i) WHERE len(w) >= n),
+q AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS g FROM s),
+h AS (SELECT doc_id, item_id, k, q.n AS n FROM q JOIN i ON q.g = i.g AND q.n = i.n),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""

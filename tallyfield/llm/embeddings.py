@@ -135,3 +135,19 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
+
+
+# Every pair in double precision, and what each vector reaches over the links.
+ORACLE = """WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT a AS x, b AS y FROM l UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a),
+c AS (SELECT x, min(y) AS low FROM r GROUP BY x),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.x = vec_id"""

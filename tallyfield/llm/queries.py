@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfield.llm import decontaminate, embeddings, html_text, language_id, mixing, simhash, token_files, toxicity
+from tallyfield.llm import (
+    decontaminate, embeddings, html_text, language_id, mixing, secrets, simhash, token_files, toxicity)
 from tallyfield.llm.shipping import shipped
 from tallyfield.llm.tables import crc_bucket
 from tallyfield.sources.scratch import scratch_dir
@@ -22,6 +23,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(load_table(spark, sf_dir, "documents"), scratch_dir(spark, "secret-ledger")))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(load_table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +65,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_language_id": op1_language_id,
+    "op2_secret_scan": op2_secret_scan,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
@@ -68,4 +74,8 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
 }.items()}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_secret_scan": secrets.oracle(),
+    "op3_embedding_dedup": embeddings.ORACLE,
+    "op4_decontaminate": decontaminate.ORACLE,
+}

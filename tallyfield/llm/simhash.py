@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.llm.components import components, local_roots
-from tallyfield.llm.tables import add_columns, stored
+from tallyfield.llm.tables import add_columns, fresh, stored
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -158,11 +158,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fingerprint as 16 hex digits, component_id) of every row."""
     rows = stored(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
                   .select("id", "fp"), "simhash")
-    distinct = stored(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    ids = least_by_component(rows, F.col("id"), radius)
+    return rows.join(ids, "fp").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("least").alias("component_id"))
+
+
+def least_by_component(rows: DataFrame, value: Column, radius: int) -> DataFrame:
+    """(fp, least): for every fingerprint the smallest value in its component."""
+    distinct = stored(rows.groupBy("fp").agg(F.min(value).alias("first")), "simhash-distinct")
     roots = stored(components(links(distinct, radius)), "simhash-roots") \
         .select(F.col("node").alias("fp"), "root")
     firsts = distinct.join(roots, "fp").groupBy("root").agg(F.min("first").alias("least"))
-    ids = distinct.join(roots.join(firsts, "root"), "fp", "left").select(
-        "fp", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"))
-    return rows.join(ids, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return distinct.join(roots.join(firsts, "root"), "fp", "left").select(
+        "fp", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("least"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id, NULL last."""
+    fp, row = fresh(docs.columns, "fp"), fresh(docs.columns, "row")
+    marked = stored(fingerprints(docs, text_col, fp).withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    rows = marked.select(F.col(fp).alias("fp"), F.struct(
+        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row")).alias("key"))
+    best = least_by_component(rows, F.col("key"), radius).select(F.col("least.row").alias(row)).distinct()
+    return marked.join(best, row, "left_semi").select(*docs.columns)
