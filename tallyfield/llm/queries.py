@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyfield.llm import (
-    decontaminate, embeddings, html_text, language_id, mixing, secrets, simhash, token_files, toxicity)
+    decontaminate, embeddings, html_text, language_id, mixing, passages, secrets, simhash, token_files, toxicity,
+)
 from tallyfield.llm.shipping import shipped
 from tallyfield.llm.tables import crc_bucket
 from tallyfield.sources.scratch import scratch_dir
@@ -49,6 +50,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(load_table(spark, sf_dir, "documents"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(load_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_passages": op7_passages,
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
