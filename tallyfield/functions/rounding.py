@@ -16,6 +16,15 @@ def round_stable(column: Column, digits: int) -> Column:
     return F.round(column + F.signum(column) * F.lit(NUDGE), digits)
 
 
+def exact_sum(column: Column | str, scale: int = 4) -> Column:
+    """Sum of doubles after rounding each to ``scale`` decimals: the same in every order of addition.
+
+    The sum is taken in DECIMAL; a value of 10^(28 - scale) or more is an error, not a wrong sum.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    return F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
+
+
 def round_half_even(column: Column, digits: int) -> Column:
     """Round ties to the even digit, as Python's ``round`` does for ties a double can hold."""
     return F.bround(column, digits)

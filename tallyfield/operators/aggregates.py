@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions.bins import Bins, bin_label
-from tallyfield.functions.rounding import ratio, round_stable
+from tallyfield.functions.rounding import exact_sum, ratio, round_stable
 
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
@@ -34,15 +34,20 @@ def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def numeric_summary(df: DataFrame, column: str | Column) -> DataFrame:
-    """Sum, mean, population standard deviation, minimum and maximum in one pass."""
-    return df.agg(
-        F.sum(column).alias("total"),
-        F.avg(column).alias("mean"),
-        F.stddev_pop(column).alias("stdev"),
-        F.min(column).alias("minimum"),
-        F.max(column).alias("maximum"),
-    )
+def numeric_summary(df: DataFrame, column: str | Column, scale: int = 6) -> DataFrame:
+    """Sum, mean, population standard deviation, minimum and maximum in one pass.
+
+    Values and squares are added exactly at ``scale`` decimals, so no result depends on how the
+    rows are partitioned.
+    """
+    x = F.col(column) if isinstance(column, str) else column
+    sums = df.agg(
+        F.count(x).alias("n"), exact_sum(x, scale).alias("total"), exact_sum(x * x, scale).alias("squares"),
+        F.min(x).alias("minimum"), F.max(x).alias("maximum"))
+    mean = F.try_divide("total", "n")
+    spread = F.try_divide(F.col("squares") - F.col("total") * mean, F.col("n"))
+    return sums.select(
+        "total", mean.alias("mean"), F.sqrt(F.greatest(spread, F.lit(0.0))).alias("stdev"), "minimum", "maximum")
 
 
 def fit_quality(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 10_000
-
+from tallyfield.sources.scratch import scratch_dir
 
 def feature_columns(
     columns: Sequence[str], label: str, numeric: Sequence[str] = (), categorical: Sequence[str] = ()
@@ -55,13 +54,14 @@ def feature_stages(
     return Pipeline(stages=stages)
 
 
-def require_few_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+def require_few_categories(df: DataFrame, columns: Sequence[str], limit: int | None) -> None:
     """Refuse columns with more distinct values than the driver should hold.
 
     An index model keeps every category on the driver and ships it to each task, so its size must
-    not grow with the rows. One pass over the named columns estimates their distinct values.
+    not grow with the rows. Callers who want that checked name a limit; one pass over the columns
+    then estimates their distinct values. Without a limit nothing is read or refused.
     """
-    if not columns:
+    if not columns or limit is None:
         return
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
     large = {name: n for name, n in sizes.items() if n > limit}
@@ -70,28 +70,38 @@ def require_few_categories(df: DataFrame, columns: Sequence[str], limit: int = M
 
 
 def fit_features(
-    df: DataFrame, stages: Pipeline, categorical: Sequence[str], limit: int = MAX_CATEGORIES
+    df: DataFrame, stages: Pipeline, categorical: Sequence[str], limit: int | None = None
 ) -> PipelineModel:
-    """Fit the stages after checking the number of categories."""
+    """Fit the stages, after checking the number of categories if there is a limit."""
     require_few_categories(df, categorical, limit)
     return stages.fit(df)
 
 
 def fit_string_index(
-    df: DataFrame, column: str, output: str, limit: int = MAX_CATEGORIES
+    df: DataFrame, column: str, output: str, limit: int | None = None
 ) -> StringIndexerModel:
     """Index the values of a column by falling frequency, equal frequencies alphabetically."""
     require_few_categories(df, [column], limit)
     return StringIndexer(inputCol=column, outputCol=output).fit(df)
 
 
-def index_map(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> DataFrame:
-    """(value, value_index, n) for the values of a column."""
-    model = fit_string_index(df, column, "value_index", limit)
-    return (
-        model.transform(df.groupBy(column).agg(F.count("*").alias("n")))
-        .select(F.col(column).alias("value"), F.col("value_index").cast("int"), "n")
-    )
+def index_map(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
+    """(value, value_index, n) for the values of a column: by falling count, then by value.
+
+    Any number of values: the counts are sorted by range over the cluster and written once, and a
+    value's index is its place in its range after the ranges before it. NULL has no index.
+    """
+    require_few_categories(df, [column], limit)
+    spark = df.sparkSession
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    folder = scratch_dir(spark, "index-map")
+    numbered = counts.orderBy(F.col("n").desc(), "value").withColumn("at", F.monotonically_increasing_id())
+    numbered.write.parquet(folder)
+    numbered = spark.read.schema(numbered.schema).parquet(folder).withColumn("part", F.shiftright("at", 33))
+    sizes = numbered.groupBy("part").agg(F.count("*").alias("size"))
+    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.join(before, "part").select("value", (inside + F.col("before")).cast("int").alias("value_index"), "n")
 
 
 def slots(df: DataFrame, keys: Sequence[str], vector: str, zeros: bool = False) -> DataFrame:

@@ -39,19 +39,23 @@ def mean_bytes(parsed: DataFrame, key: str = "method") -> DataFrame:
 
 
 def status_sets(parsed: DataFrame, key: str = "method") -> DataFrame:
-    """(key, statuses, n_other): the distinct three-digit status codes in order, joined by commas.
+    """(key, statuses, n_other): all distinct statuses in order, joined by commas.
 
-    Duplicates are dropped before anything is gathered, and three digits allow 1,000 codes at
-    most, so no group grows with the log. Any other status is counted once per value in n_other.
+    Duplicates are dropped before anything is gathered, so a list holds each status once, whatever
+    it looks like; n_other counts those that are no three-digit codes. ``status_pairs`` has the
+    same in long form.
     """
-    pairs = parsed.select(key, "status").distinct()
     is_code = F.col("status").rlike("^[0-9]{3}$")
-    gathered = F.collect_list(F.when(is_code, F.col("status")))
-    return pairs.groupBy(key).agg(
-        F.array_join(F.sort_array(gathered), ",").alias("statuses"),
+    return status_pairs(parsed, key).groupBy(key).agg(
+        F.array_join(F.sort_array(F.collect_list("status")), ",").alias("statuses"),
         F.count_if(~is_code).alias("n_other"),
     )
 
 
+def status_pairs(parsed: DataFrame, key: str = "method") -> DataFrame:
+    """Distinct (key, status)."""
+    return parsed.select(key, "status").distinct()
+
+
 def distinct_values(parsed: DataFrame, column: str) -> DataFrame:
     return parsed.select(column).distinct().orderBy(column)

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import presets, bin_label, ratio
 from tallyfield.operators.aggregates import class_share, count_by, weighted_mean_by
 from tallyfield.operators.joins import (
-    cohort_flags_from_events, cohort_sizes, drop_in, first_period_rows, keep_in, match, outer_rate,
-    rate_per_bin,
+    cohort_flags_from_events, cohort_sizes_from_events, first_period_rows, match, outer_rate, rate_per_bin,
 )
 from tallyfield.plans.relational import SCORE_SQL, order_scores
 from tallyfield.sources import load_table
@@ -34,10 +33,6 @@ def known_orders(spark, sf):
     return load_table(spark, sf, "orders").filter(F.col("o_custkey").isNotNull())
 
 
-def activity(spark, sf):
-    return known_orders(spark, sf).filter(F.col("o_orderdate") >= ENROLLED_FROM).select("o_custkey")
-
-
 def exit_conditions():
     return {
         name: (F.col("o_orderstatus") == status) & (F.col("o_orderdate") >= since)
@@ -45,14 +40,6 @@ def exit_conditions():
     }
 
 
-def exits(spark, sf):
-    orders = known_orders(spark, sf)
-    return {
-        name: orders.filter(condition).select("o_custkey").distinct()
-        for name, condition in exit_conditions().items()
-    }
-
-
 def flags(spark, sf):
     conditions = {"enrolled": F.col("o_orderdate") >= ENROLLED_FROM, **exit_conditions()}
     return cohort_flags_from_events(
@@ -60,12 +47,13 @@ def flags(spark, sf):
 
 
 def current(spark, sf):
-    enrolled = keep_in(members(spark, sf), activity(spark, sf), "o_custkey")
-    return drop_in(enrolled, "o_custkey", *exits(spark, sf).values())
+    return flags(spark, sf).filter("is_current").select("o_custkey", "segment")
 
 
 def status_cohorts(spark, sf):
-    return cohort_sizes(members(spark, sf), "o_custkey", activity(spark, sf), exits(spark, sf))
+    conditions = {"enrolled": F.col("o_orderdate") >= ENROLLED_FROM, **exit_conditions()}
+    return cohort_sizes_from_events(
+        members(spark, sf), "o_custkey", known_orders(spark, sf), conditions)
 
 
 def current_share(spark, sf):
@@ -85,7 +73,9 @@ def current_means(spark, sf):
 
 
 def perfect_means(spark, sf):
-    return current_means(spark, sf).filter("mean = 4.0")
+    """Current members with the best mean that any of them has."""
+    means = current_means(spark, sf)
+    return match(means, means.agg(F.max("mean").alias("mean")), "mean").select("o_custkey", "mean", "segment")
 
 
 def first_period_means(spark, sf):
@@ -170,7 +160,8 @@ ORACLE = {
         FROM means JOIN current_members ON c_custkey = o_custkey""",
     "perfect_means": f"""{_SETS}
         SELECT o_custkey, mean, c_mktsegment AS segment
-        FROM means JOIN current_members ON c_custkey = o_custkey WHERE mean = 4.0""",
+        FROM means JOIN current_members ON c_custkey = o_custkey
+        WHERE mean = (SELECT max(mean) FROM means JOIN current_members ON c_custkey = o_custkey)""",
     "first_period_ratio": f"{_SETS} SELECT o_custkey, first_mean FROM first_means",
     "rate_by_bin": f"""{_SETS},
         b AS (SELECT o_custkey, CASE WHEN first_mean >= 0 AND first_mean < 1 THEN '[0,1)'

@@ -74,7 +74,8 @@ QUERIES = {
 
 def _summary_sql(x: str) -> str:
     return f"""
-        SELECT round(sum({x}), 4) AS total, round(avg({x}), 4) AS mean,
+        SELECT round(sum(CAST({x} AS DECIMAL(38,6)))::DOUBLE, 4) AS total,
+               round(sum(CAST({x} AS DECIMAL(38,6)))::DOUBLE / count({x}), 4) AS mean,
                round(stddev_pop({x}), 4) AS stdev, round(min({x}), 4) AS minimum,
                round(max({x}), 4) AS maximum
         FROM lineitem"""

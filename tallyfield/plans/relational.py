@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyfield.functions import Bins, bin_label, map_category, ordinal_rank, ratio
+from tallyfield.functions import Bins, bin_label, exact_sum, map_category, ordinal_rank, ratio
 from tallyfield.functions.categories import mapping_sql
 from tallyfield.functions.registry import register_sql_function
 from tallyfield.operators.aggregates import (
@@ -109,8 +109,8 @@ def having_filters(spark, sf):
     totals = load_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     measures = lookup(items, totals, "o_orderkey").groupBy("l_suppkey").agg(
         F.count("o_orderkey").alias("n_lines"),
-        F.round(F.sum("o_totalprice"), 2).alias("total_value"),
-        ratio(F.sum("o_totalprice"), F.count("o_totalprice"), 2).alias("avg_value"),
+        F.round(exact_sum("o_totalprice"), 2).alias("total_value"),
+        ratio(exact_sum("o_totalprice"), F.count("o_totalprice"), 2).alias("avg_value"),
     ).filter("total_value >= 45000000").filter("n_lines >= 190")
     order = [F.col("avg_value").desc(), F.col("l_suppkey")]
     return top_with_lookup(measures, suppliers(spark, sf), "l_suppkey", order, 16)
@@ -256,11 +256,11 @@ ORACLE = {
     "having_filters": """
         SELECT l_suppkey, n_lines, total_value, avg_value, s_name
         FROM (SELECT l_suppkey, count(l_orderkey) AS n_lines,
-                     round(sum(o_totalprice), 2) AS total_value,
-                     round(sum(o_totalprice) / count(o_totalprice) + 1e-9, 2) AS avg_value
+                     round(sum(CAST(o_totalprice AS DECIMAL(28,4)))::DOUBLE, 2) AS total_value,
+                     round(sum(CAST(o_totalprice AS DECIMAL(28,4)))::DOUBLE / count(o_totalprice) + 1e-9, 2) AS avg_value
               FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
               WHERE l_returnflag = 'R' GROUP BY 1
-              HAVING round(sum(o_totalprice), 2) >= 45000000 AND count(l_orderkey) >= 190) m
+              HAVING round(sum(CAST(o_totalprice AS DECIMAL(28,4)))::DOUBLE, 2) >= 45000000 AND count(l_orderkey) >= 190) m
         LEFT JOIN supplier ON s_suppkey = l_suppkey
         ORDER BY avg_value DESC, l_suppkey LIMIT 16""",
     "class_share": """

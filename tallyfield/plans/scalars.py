@@ -50,7 +50,7 @@ def scalar_aggregates(spark, sf):
     return load_table(spark, sf, "events").groupBy("event_type").agg(
         F.expr("COUNT(*) AS n"),
         F.expr("COUNT(DISTINCT user_id) AS n_users"),
-        F.expr("ROUND(SUM(value), 2) AS total"),
+        F.expr("ROUND(CAST(SUM(CAST(value AS DECIMAL(28,4))) AS DOUBLE), 2) AS total"),
         round_stable(F.expr("AVG(value)"), 2).alias("mean"),
         F.expr("MIN(value) AS lowest"),
         F.expr("MAX(value) AS highest"),
@@ -91,7 +91,7 @@ ORACLE = {
         FROM lineitem""",
     "scalar_aggregates": """
         SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users,
-               round(sum(value), 2) AS total, round(avg(value) + 1e-9, 2) AS mean,
+               round(sum(CAST(value AS DECIMAL(28,4)))::DOUBLE, 2) AS total, round(avg(value) + 1e-9, 2) AS mean,
                min(value) AS lowest, max(value) AS highest
         FROM events GROUP BY 1""",
 }

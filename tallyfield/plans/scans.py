@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyfield.functions import round_stable
-from tallyfield.operators.aggregates import count_by, grouped_means, keyed_split_counts
+from tallyfield.operators.aggregates import count_by, grouped_means
 from tallyfield.operators.joins import match
-from tallyfield.operators.sampling import bernoulli_sample
+from tallyfield.operators.sampling import bernoulli_sample, keyed_split
 from tallyfield.sources import (
     head_rows, load_table, local_rows, partition_sizes, read_delimited, read_delimited_inferred,
     row_counts, scratch_dir, with_uniform, write_delimited,
 )
 
-COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+           "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _part_file(spark, sf):
@@ -80,9 +81,9 @@ def sample_rows(spark, sf):
 
 
 def hash_split_counts(spark, sf):
-    """The oracle needs a bucket both engines compute alike, hence the plain key remainder."""
-    bucket = F.pmod(F.col("l_orderkey"), F.lit(10))
-    return keyed_split_counts(load_table(spark, sf, "lineitem"), bucket, 8)
+    """Training and test rows of the keyed split, by a hash that other engines have too."""
+    first, rest = keyed_split(load_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 0.8, portable=True)
+    return row_counts({"train": first, "test": rest}).withColumnRenamed("table_name", "side")
 
 
 QUERIES = {
@@ -119,6 +120,8 @@ ORACLE = {
                round(min(x), 1) AS minimum, round(max(x), 1) AS maximum
         FROM (SELECT random() AS x FROM lineitem)""",
     "hash_split_counts": """
-        SELECT CASE WHEN l_orderkey % 10 < 8 THEN 'train' ELSE 'test' END AS side, count(*) AS n
-        FROM lineitem GROUP BY 1""",
+        WITH b AS (SELECT CAST('0x' || substr(md5(concat_ws('|', '0', l_orderkey, l_linenumber)), 1, 8) AS BIGINT)
+                          % 10000 AS bucket FROM lineitem)
+        SELECT 'train' AS side, count(*) FILTER (bucket < 8000) AS n FROM b
+        UNION ALL SELECT 'test', count(*) FILTER (bucket >= 8000) FROM b""",
 }

@@ -8,15 +8,16 @@ from tallyfield.sources.schemas import SCHEMAS, SEPARATORS
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: str, sep: str | None = None, header: bool = True
+    spark: SparkSession, path: str, schema: str, sep: str | None = None, header: bool = True,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Read with a declared schema: a DDL string, or a name from the schema registry.
 
-    A field that does not parse becomes NULL.
+    A field that does not parse becomes NULL, or is an error with ``mode="FAILFAST"``.
     """
     ddl = SCHEMAS.get(schema, schema)
     sep = sep or SEPARATORS.get(schema, ",")
-    return spark.read.schema(ddl).option("sep", sep).option("header", header).csv(path)
+    return spark.read.schema(ddl).option("sep", sep).option("header", header).option("mode", mode).csv(path)
 
 
 def read_delimited_inferred(

@@ -13,19 +13,15 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-# At the default split size this many scan partitions hold 8 GB at most.
-SMALL_TABLE_PARTITIONS = 64
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Give a small table one partition per core before work that is heavy per row.
+    """Give a table at least one partition per core before work that is heavy per row.
 
-    A table with enough scan partitions for all cores, or with more than
-    ``SMALL_TABLE_PARTITIONS``, is returned as it is: large tables are never shuffled for this.
+    A table with enough scan partitions for all cores is returned as it is. ``df`` must be a scan or
+    a projection of one: its partitions are counted without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = df.rdd.getNumPartitions()
-    return df.repartition(cores) if parts < cores and parts <= SMALL_TABLE_PARTITIONS else df
+    return df.repartition(cores) if parts < cores else df
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyfield.sources.scratch import scratch_dir
 
 
-def _writer(result: DataFrame, name: str, available_now: bool):
-    checkpoint = scratch_dir(result.sparkSession, f"{name}-checkpoint")
+def _writer(result: DataFrame, name: str, available_now: bool, checkpoint: str | None):
+    checkpoint = checkpoint or scratch_dir(result.sparkSession, f"{name}-checkpoint")
     writer = result.writeStream.outputMode("complete").queryName(name)
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if available_now else writer
@@ -37,28 +37,33 @@ def _start(writer, spark: SparkSession, partitions: int | None) -> StreamingQuer
 
 
 def start_memory(
-    result: DataFrame, name: str, available_now: bool = False, partitions: int | None = None
+    result: DataFrame, name: str, available_now: bool = False, partitions: int | None = None,
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Start a query whose complete result is the in-memory table ``name``."""
-    writer = _writer(result, name, available_now).format("memory")
+    """Start a query whose complete result is the in-memory table ``name``.
+
+    A query started again with the same ``checkpoint`` goes on where it stopped.
+    """
+    writer = _writer(result, name, available_now, checkpoint).format("memory")
     return _start(writer, result.sparkSession, partitions)
 
 
 def start_table(
     result: DataFrame, name: str, folder: str, available_now: bool = False,
-    written: list[int] | None = None, partitions: int | None = None,
+    written: list[int] | None = None, partitions: int | None = None, checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Start a query that writes each complete result to ``folder/batch=<id>``.
 
     A batch that is run again after a failure replaces its own folder. ``written`` collects the
-    ids of finished batches.
+    ids of finished batches. A query started again with the same ``checkpoint`` and folder goes on
+    where it stopped.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
         if written is not None:
             written.append(batch_id)
 
-    writer = _writer(result, name, available_now).foreachBatch(write)
+    writer = _writer(result, name, available_now, checkpoint).foreachBatch(write)
     return _start(writer, result.sparkSession, partitions)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.functions.rounding import round_stable
+from tallyfield.functions.rounding import exact_sum, round_stable
 
 
 def type_summary(df: DataFrame, key: str, amount: str, digits: int = 2) -> DataFrame:
@@ -24,7 +24,7 @@ def filtered_totals(
     """(key, n, total_amount, avg_amount) over the rows of one kind."""
     return df.filter(F.col(kind) == wanted).groupBy(key).agg(
         F.count("*").alias("n"),
-        F.sum(amount).alias("total_amount"),
+        exact_sum(amount).alias("total_amount"),
         round_stable(F.avg(amount), digits).alias("avg_amount"),
     )
 

@@ -94,3 +94,24 @@ def test_partitioning_does_not_change_results(spark, small_sf):
         return [sorted(map(tuple, x.collect())) for x in (means, shares, weighted)]
 
     assert result(items) == result(items.repartition(13)) == result(items.orderBy(F.rand(5)))
+
+
+def test_sums_do_not_depend_on_the_partitioning(spark, sf):
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_extendedprice")
+    found = {
+        tuple(agg.numeric_summary(items.repartition(n), "l_extendedprice").first()) for n in (1, 3, 8, 16, 40)}
+    assert len(found) == 1
+
+
+def test_cohort_sizes_of_both_forms_agree(spark):
+    from pyspark.sql import functions as F
+
+    from tallyfield.operators import joins
+    members = local_rows(spark, [[k] for k in range(1, 9)], "k INT")
+    events = local_rows(spark, [[k, k * s, s] for k in range(3, 12) for s in (1, 2, 3)], "k INT, t INT, s INT")
+    conditions = {"enrolled": F.col("t") > 6, "a": (F.col("s") == 1) & (F.col("t") > 8), "b": F.col("t") > 21}
+    sets = {name: events.filter(c).select("k").distinct() for name, c in conditions.items()}
+    activity = sets.pop("enrolled")
+    one = joins.cohort_sizes(members, "k", activity, sets)
+    two = joins.cohort_sizes_from_events(members, "k", events, conditions)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))

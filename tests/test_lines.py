@@ -35,7 +35,7 @@ def test_empty_transfers_count_in_the_truncated_mean(spark):
 def test_status_sets(spark):
     parsed = logs.parse_access_log(lines(spark, LOG + ['d.net [01:00:00:00 "GET /z" odd 1']))
     rows = {r.method: (r.statuses, r.n_other) for r in logs.status_sets(parsed).collect()}
-    assert rows == {"GET": ("200,304,404", 1), "POST": ("200", 0), "HEAD": ("200", 0)}
+    assert rows == {"GET": ("200,304,404,odd", 1), "POST": ("200", 0), "HEAD": ("200", 0)}
 
 
 def test_malformed_lines_parse_to_nulls_and_are_reported(spark):
@@ -62,3 +62,14 @@ def test_record_lines_keep_data_that_holds_a_column_name(spark):
 def test_parsing_stays_in_the_jvm(spark):
     df = logs.mean_bytes(logs.parse_access_log(spark.range(5).select(F.lit(LOG[0]).alias("line"))))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_parsing_can_fail_loudly(spark):
+    import pytest
+
+    from tallyfield.operators.lines import parse_numbers, parse_records
+    good, bad = lines(spark, ["1 2.5"]), lines(spark, ["1 x"])
+    assert tuple(parse_numbers(good, ["a", "b"], fail=True).first()) == (1.0, 2.5)
+    for frame in (parse_numbers(bad, ["a", "b"], fail=True), parse_records(bad, "a INT, b INT", sep=" ", fail=True)):
+        with pytest.raises(Exception, match="field 2 does not parse: x"):
+            frame.collect()

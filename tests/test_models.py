@@ -151,3 +151,11 @@ def test_models_learn_the_planted_rule(spark, planted):
     leaves = models.leaf_counts(tree.bestModel, held_out).collect()
     assert sum(r.n for r in leaves) == held_out.count()
     assert len({r.leaf for r in leaves}) == len(leaves)
+
+
+def test_index_map_of_many_values(spark):
+    df = spark.range(40_000).selectExpr("concat('v', lpad(id % 20000, 5, '0')) AS g").unionAll(
+        spark.range(7).selectExpr("'v00042' AS g"))
+    found = index_map(df, "g").orderBy("value_index").collect()
+    assert len(found) == 20_000 and [r.value_index for r in found] == list(range(20_000))
+    assert found[0].value == "v00042" and [r.value for r in found[1:]] == sorted(r.value for r in found[1:])

@@ -3,6 +3,7 @@
 import uuid
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallyfield import streaming
@@ -87,3 +88,51 @@ def test_empty_source_gives_an_empty_result(spark, tmp_path):
     stream = streaming.stream_delimited(spark, empty, SCHEMAS["events"])
     totals = summaries.filtered_totals(stream, "event_type", "purchase", "user_id", "value")
     assert streaming.run_to_table(totals, "empty").count() == 0
+
+
+def test_borrowed_types_cover_all_files(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("k,v\nx,1\ny,2\n")
+    (folder / "b.csv").write_text("k,v\n")
+    (folder / "c.csv").write_text("k,v\nx,3000000000.5\nz,560.21\n")
+    schema = streaming.borrow_schema(spark, str(folder))
+    assert schema["v"].dataType.typeName() == "double"
+    stream = streaming.stream_delimited(spark, str(folder), schema, mode="FAILFAST")
+    found = streaming.run_to_memory(summaries.type_summary(stream, "k", "v"), "mixed")
+    assert {r.k: r.max_amount for r in found.collect()} == {"x": 3000000000.5, "y": 2.0, "z": 560.21}
+
+
+def test_a_sample_without_rows_is_refused(spark, tmp_path):
+    (tmp_path / "only-header.csv").write_text("k,v\n")
+    with pytest.raises(ValueError):
+        streaming.borrow_schema(spark, str(tmp_path))
+
+
+def test_a_value_outside_the_types_stops_the_stream(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\nx,1\n")
+    schema = streaming.borrow_schema(spark, str(tmp_path))
+    (tmp_path / "b.csv").write_text("k,v\nx,not a number\n")
+    stream = streaming.stream_delimited(spark, str(tmp_path), schema, mode="FAILFAST")
+    with pytest.raises(StreamingQueryException):
+        streaming.run_to_memory(summaries.type_summary(stream, "k", "v"), "bad")
+
+
+def test_a_restarted_query_goes_on(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("k,v\nx,1\n")
+    written = []
+
+    def run():
+        stream = streaming.stream_delimited(spark, str(source), "k STRING, v INT")
+        streaming.start_table(
+            summaries.type_summary(stream, "k", "v"), f"t_{uuid.uuid4().hex}", str(tmp_path / "out"), True, written,
+            checkpoint=str(tmp_path / "checkpoint")).awaitTermination()
+
+    run()
+    (source / "b.csv").write_text("k,v\nx,5\n")
+    run()
+    assert written == [0, 1]
+    last = spark.read.parquet(str(tmp_path / "out" / "batch=1")).first()
+    assert (last.n, last.max_amount) == (2, 5)
