@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from tallyfield.llm.tables import stored
 
 
 def local_roots(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """``roots`` (position -> smallest known position of its component) after adding links."""
+    """``roots`` (position -> smallest known position of its component), changed in place, after adding links."""
     while True:
         a, b = roots[left], roots[right]
         apart = a != b
@@ -25,23 +28,52 @@ def local_roots(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nd
             roots = jumped
 
 
+# Edges that a task gathers before it reduces them to a spanning forest.
+GATHERED = 1_000_000
+
+
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of one partition's edges: at most one edge per node, same components."""
+    left, right, waiting = [], [], 0
+    for batch in batches:
+        left.append(batch.column(0).to_numpy())
+        right.append(batch.column(1).to_numpy())
+        waiting += batch.num_rows
+        if waiting > GATHERED:
+            a, b = spanning(np.concatenate(left), np.concatenate(right))
+            left, right, waiting = [a], [b], 0
+    if left:
+        a, b = spanning(np.concatenate(left), np.concatenate(right))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def spanning(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its component) of every node but those smallest ones."""
+    nodes, index = np.unique(np.concatenate([left, right]), return_inverse=True)
+    roots = local_roots(np.arange(len(nodes)), index[:len(left)], index[len(left):])
+    child = np.flatnonzero(roots != np.arange(len(nodes)))
+    return nodes[child], nodes[roots[child]]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node that has an edge; the root is the smallest node it can reach.
 
     Alternates two steps until no edge changes: every node links its larger neighbours to its
     smallest one, then its smaller neighbours and itself. A node with very many edges is met as one
-    pre-aggregated minimum and in joins that adaptive execution can split. Each round is written to
-    shared storage, so a lost executor costs no earlier round.
+    pre-aggregated minimum and in joins that adaptive execution can split. Each partition of the
+    edges is reduced to a spanning forest first. Each round is written to shared storage, so a lost
+    executor costs no earlier round.
     """
-    links = stored(edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u"))
-                   .filter("u <> v").distinct(), "components")
+    links = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).mapInArrow(forest, "a long, b long").select(
+        F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "components")
     mark = _mark(links)
     while True:
         both = links.unionAll(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("low")).select(
             "v", F.least("v", "low").alias("low"))
         # Larger neighbours of v go to the smallest neighbour of v.
-        large = both.join(least, "v").filter("u > v").select(F.col("u").alias("v"), F.col("low").alias("u")).distinct()
+        large = links.join(least.select(F.col("v").alias("u"), "low"), "u").select(
+            "v", F.col("low").alias("u")).distinct()
         low = large.groupBy("v").agg(F.min("u").alias("low"))
         small = large.join(low, "v").filter("u <> low").select(F.col("u").alias("v"), F.col("low").alias("u")) \
             .unionAll(low.select("v", F.col("low").alias("u"))).distinct()

@@ -6,8 +6,9 @@ whole fingerprint and of its lower half. A pair of tiles is compared (exclusive-
 over whole tiles in numpy) unless the counts alone put every pair beyond the radius: flipping one
 bit changes the count of exactly one half by one. No pair within the radius is lost.
 
-A pair of tiles gives at most one edge per fingerprint, a spanning forest of its links, so groups
-of copies never become all their pairs; the components are the same.
+A tile gives at most one edge per fingerprint, a spanning forest of the links inside it, and a pair
+of tiles at most one per group that it joins, so groups of copies never become all their pairs; the
+components are the same.
 
 Cases. NULL texts and texts without words have fingerprint zero and link like any other. Repeated
 rows and ids are kept. Where every id of a component is NULL its id is NULL. Tiles grow with the
@@ -53,12 +54,12 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", name: str = "fp") -> DataFrame:
-    """``docs`` with the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, text_col: str = "text", name: str = "fp", keep: list[str] | None = None) -> DataFrame:
+    """``docs``, or its columns ``keep``, with the fingerprint as a signed 64-bit number."""
     def work(texts: list[str | None]) -> list:
         return [np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64).tolist()]
 
-    return add_columns(docs, [text_col], f"`{name}` long", lambda: work)
+    return add_columns(docs, [text_col], f"`{name}` long", lambda: work, keep)
 
 
 def tile_plan(cells: dict[tuple[int, int], int]) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -104,26 +105,22 @@ def near_tiles(tiles: list[tuple[int, int, int, int, int]], radius: int) -> np.n
     return np.concatenate(found)
 
 
-def tile_links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the links between two tiles of unsigned fingerprints, as value pairs."""
-    values = a if same else np.concatenate([a, b])
-    shift = 0 if same else len(a)
-    roots = np.arange(len(values))
+def tile_roots(a: np.ndarray, b: np.ndarray, roots: np.ndarray, shift: int, radius: int) -> np.ndarray:
+    """``roots`` after adding the links between ``a`` (places from 0) and ``b`` (places from ``shift``)."""
     rows = max(1, (1 << 18) // max(1, len(b)))
     for start in range(0, len(a), rows):
-        near = np.bitwise_count(a[start:start + rows, None] ^ b[None, :]) <= radius
-        i, j = np.nonzero(near)
-        i = i + start
-        if same:
-            i, j = i[i < j], j[i < j]
+        i, j = np.nonzero(np.bitwise_count(a[start:start + rows, None] ^ b[None, :]) <= radius)
         if len(i):
-            roots = local_roots(roots, i, j + shift)
-    child = np.flatnonzero(roots != np.arange(len(roots)))
-    return values[child], values[roots[child]]
+            roots = local_roots(roots, i + start, j + shift)
+    return roots
 
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b) edges that join all of the distinct fingerprints ``fp`` within the radius."""
+    """(a, b) edges that join all of the distinct fingerprints ``fp`` within the radius.
+
+    Each tile is compared with itself first and carries what it is joined to inside; a pair of
+    tiles then gives edges between such groups only, not between their members.
+    """
     spark = prints.sparkSession
     low = F.bit_count(F.col("fp").bitwiseAND(F.lit(LOW_HALF)))
     cells = prints.select("fp", F.bit_count("fp").alias("ones"), low.alias("low"))
@@ -136,28 +133,44 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     place = spark.createDataFrame(places, "ones int, low int, first long, slices int")
     tiled = cells.join(F.broadcast(place), ["ones", "low"]).select(
         "fp", (F.col("first") + F.pmod(F.xxhash64("fp"), F.col("slices"))).alias("tile"))
-    packed = tiled.groupBy("tile").agg(F.collect_list("fp").alias("fps"))
-    todo = spark.createDataFrame(pairs.tolist(), "i long, j long")
-    work = todo.join(packed.select(F.col("tile").alias("i"), F.col("fps").alias("left")), "i") \
-        .join(packed.select(F.col("tile").alias("j"), F.col("fps").alias("right")), "j")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                fps = batch.column(1)[k].values.to_numpy()
+                unsigned = fps.view(np.uint64)
+                roots = tile_roots(unsigned, unsigned, np.arange(len(fps)), 0, radius)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(k, 1), pa.array([fps]), pa.array([roots])], names=["tile", "fps", "roots"])
+
+    packed = stored(tiled.groupBy("tile").agg(F.collect_list("fp").alias("fps")).mapInArrow(
+        inside, "tile long, fps array<long>, roots array<long>"), "simhash-tiles")
+    within = packed.select("fps", F.explode(F.arrays_zip("fps", "roots")).alias("x")).select(
+        F.col("x.fps").alias("a"), F.expr("fps[x.roots]").alias("b"))
+    todo = spark.createDataFrame(pairs[pairs[:, 0] < pairs[:, 1]].tolist(), "i long, j long")
+
+    def side(name: str) -> DataFrame:
+        return packed.select(F.col("tile").alias(name), F.col("fps").alias(f"{name}_fps"), F.col("roots").alias(f"{name}_roots"))
+
+    work = todo.join(side("i"), "i").join(side("j"), "j").select("i_fps", "i_roots", "j_fps", "j_roots")
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                i, j, left, right = (c[k] for c in batch.columns)
-                a, b = (x.values.to_numpy().view(np.uint64) for x in (left, right))
-                child, root = tile_links(a, b, i.as_py() == j.as_py(), radius)
+                a, a_roots, b, b_roots = (c[k].values.to_numpy() for c in batch.columns)
+                values, before = np.concatenate([a, b]), np.concatenate([a_roots, b_roots + len(a)])
+                after = tile_roots(a.view(np.uint64), b.view(np.uint64), before.copy(), len(a), radius)
+                child = np.flatnonzero((before == np.arange(len(before))) & (after != before))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(child.view(np.int64)), pa.array(root.view(np.int64))], names=["a", "b"])
+                    [pa.array(values[child]), pa.array(values[after[child]])], names=["a", "b"])
 
-    return work.select("i", "j", "left", "right").mapInArrow(compare, "a long, b long")
+    return within.filter("a <> b").unionAll(work.mapInArrow(between, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     radius: int = RADIUS) -> DataFrame:
     """(id, fingerprint as 16 hex digits, component_id) of every row."""
-    rows = stored(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
-                  .select("id", "fp"), "simhash")
+    rows = stored(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", keep=["id"]), "simhash")
     ids = least_by_component(rows, F.col("id"), radius)
     return rows.join(ids, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -40,27 +41,47 @@ def crc_bucket(column: str, buckets: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks: one thing at a time, so that its memory is bounded.
+
+    Asking for another thing lets go of the one before.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def add_columns(
     df: DataFrame, needs: list[str], added: str, make: Callable[[], Callable[..., list]],
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``df`` with the columns of the DDL ``added``, computed from the columns ``needs``.
 
+    ``keep`` names the columns of ``df`` that come back from Python, all by default.
+
     ``make`` runs once per task and gives a function from a slice of the needed columns (lists of
     Python values) to the new columns (lists or Arrow arrays, one value per row). A slice holds
     about ``SLICE_CHARS`` characters of its last needed column, or one longer row.
     """
     extra = T.StructType.fromDDL(added)
-    full = T.StructType([*df.schema, *extra])
+    kept = df.columns if keep is None else keep
+    full = T.StructType([*(df.schema[c] for c in kept), *extra])
     arrow_extra = to_arrow_schema(extra)
     names = list(needs)
     order = {name: i for i, name in enumerate(df.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None, lambda: None)
         work = make()
         for batch in batches:
             for part in row_slices(batch, order[names[-1]]):
                 columns = work(*(part.column(order[n]).to_pylist() for n in names))
-                arrays = list(part.columns) + [
+                arrays = [part.column(order[c]) for c in kept] + [
                     c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                     for c, f in zip(columns, arrow_extra, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=full.names)

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tallyfield.llm import queries
 from tallyfield.llm import simhash as sh
-from tallyfield.llm.components import components, local_roots
+from tallyfield.llm.components import components, local_roots, spanning
 from tallyfield.sources.tables import load_table
 
 
@@ -45,6 +45,15 @@ def test_local_roots(pairs):
     assert local_roots(np.arange(31), left, right).tolist() == classes(31, pairs)
 
 
+@settings(deadline=None, max_examples=40)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
+def test_spanning_forest(pairs):
+    left, right = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+    child, root = spanning(left, right)
+    assert classes(31, list(zip(child.tolist(), root.tolist(), strict=True))) == classes(31, pairs)
+    assert len(set(child.tolist())) == len(child)
+
+
 def near_prints(rng, n):
     """Random fingerprints, each with some at a few bits from it."""
     prints = []
