@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.llm.tables import add_columns, row_slices, stored
+from tallyfield.llm.tables import add_columns, held, stored
 
 # Word lists in four languages.
 INSULTS = ("idiot", "moron", "scum", "clown", "pathetic", "worthless", "loser", "trash", "stupid", "disgusting",
@@ -51,6 +51,7 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "OITGNR"
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;:\n|]")
 NEGATION_SCOPE = 3  # words
+COUNTED_STEMS = 150_000  # that a task holds before it passes its counts on
 # Evidence columns: insults and threats by (negated, reported, in a clause with a target).
 TAGS = [(kind, neg, rep, hit) for kind in (INSULT, THREAT) for neg in (0, 1) for rep in (0, 1) for hit in (0, 1)]
 COLUMN = {tag: i for i, tag in enumerate(TAGS)}
@@ -60,7 +61,10 @@ COLUMN = {tag: i for i, tag in enumerate(TAGS)}
 class Settings:
     toxic_rows: int = 4000    # labelled rows that training takes at most, by label
     clean_rows: int = 8000
-    min_toxic: int = 3        # texts of either label that decide whether a stem is learned
+    # A stem is learned if so many toxic texts, and this share of them, hold it, and clean texts
+    # hold it at most this much as often.
+    min_toxic: int = 3
+    min_toxic_share: float = 0.01
     max_clean_share: float = 0.1
     stem_chars: tuple[int, int] = (4, 10)
     ridge: float = 0.05
@@ -205,15 +209,20 @@ SEED_STEMS = dict.fromkeys(INSULTS, 3.0)
 
 
 def pick_stems(counts: list[tuple[str, int, int]], toxic: int, clean: int, settings: Settings) -> dict[str, float]:
-    """Stems by log-odds; of nested stems the one that covers most, and of equals the longest."""
+    """Stems by log-odds; of nested stems the one that covers most, and of equals the longest.
+
+    Seed stems stay, with what their counts say about them where there are enough.
+    """
     rated = []
     for stem, t, c in counts:
-        if t >= settings.min_toxic and c / max(clean, 1) <= settings.max_clean_share * t / toxic:
+        if t >= max(settings.min_toxic, settings.min_toxic_share * toxic) and c / max(clean, 1) <= settings.max_clean_share * t / toxic:
             odds = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
             rated.append((-t * odds, -len(stem), stem, odds))
     picked: dict[str, float] = dict(SEED_STEMS)
     for _, _, stem, odds in sorted(rated):
-        if not any(stem[:k] in picked for k in range(1, len(stem) + 1)) and \
+        if stem in SEED_STEMS:
+            picked[stem] = min(odds, 6.0)
+        elif not any(stem[:k] in picked for k in range(1, len(stem) + 1)) and \
                 not any(other.startswith(stem) for other in picked):
             picked[stem] = min(odds, 6.0)
     return picked
@@ -255,15 +264,16 @@ def stem_counts(rows: DataFrame, settings: Settings) -> DataFrame:
     low, high = settings.stem_chars
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None, lambda: None)
         seen: dict[tuple[str, int], list[int]] = {}
         for batch in batches:
             for text, toxic, half in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = set(WORD.findall(text.lower()))
                 for stem in {w[:k] for w in words for k in range(low, min(high, len(w)) + 1)}:
                     seen.setdefault((stem, half), [0, 0])[toxic] += 1
-            if len(seen) > 1_000_000:
-                yield flush(seen)
-                seen = {}
+                if len(seen) > COUNTED_STEMS:
+                    yield flush(seen)
+                    seen = {}
         yield flush(seen)
 
     def flush(seen: dict) -> pa.RecordBatch:
@@ -309,8 +319,11 @@ def evidence_of(grammar: Grammar):
     return lambda texts: [[grammar.evidence(t).tolist() for t in texts]]
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` (1 from 0.5). Only the text is looked at."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs``, or its columns ``keep``, with ``score`` and ``predicted`` (1 from 0.5).
+
+    Only the text is looked at.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -322,4 +335,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
         return work
 
-    return add_columns(docs.drop("score", "predicted"), [text_col], "score double, predicted int", make)
+    return add_columns(docs.drop("score", "predicted"), [text_col], "score double, predicted int", make, keep)
