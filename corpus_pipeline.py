@@ -44,7 +44,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     folder = scratch_dir(spark, "pipeline-tokens")
-    token_files.write_tokens(docs, folder, queries.WORD_TOKENIZER)
+    # After four other stages the workers have less memory left than in a job of its own.
+    token_files.write_tokens(docs, folder, queries.WORD_TOKENIZER, parts_kept=150_000)
     return token_files.read_tokens(spark, folder)
 
 

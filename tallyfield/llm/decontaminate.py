@@ -206,8 +206,8 @@ class Index:
         return [sizes.tolist(), flat, [sorted(x) for x in named]]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``."""
+def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs``, or its columns ``keep``, with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``."""
     spark = docs.sparkSession
     found = stored(windows(benchmark), "benchmark-windows")
     blocks = max(1, math.ceil(found.count() / BLOCK_WINDOWS))
@@ -221,7 +221,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataF
         shared = spark.sparkContext.broadcast(index)
         if number == 0:
             kept = add_columns(kept, [text_col], f"n_words long, {names[0]} array<int>, {names[1]} array<string>",
-                               lambda shared=shared: lambda texts: shared.value.scan(None, None, texts))
+                               lambda shared=shared: lambda texts: shared.value.scan(None, None, texts),
+                               keep if blocks == 1 else None)
         else:
             kept = add_columns(stored(kept, "decontaminate").drop("n_words"), [*names, text_col],
                                "n_words long, _more_0 array<int>, _more_1 array<string>",
@@ -233,7 +234,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataF
     return kept.withColumns({
         "n_hit": n_hit, "n_items": F.size(items).cast("long"),
         "items_sha256": F.sha2(F.array_join(items, ","), 256), "contaminated": F.size(spans) > 0,
-    }).drop(*names)
+    }).select(*(c for c in (docs.columns if keep is None else keep) if c not in ADDED), *ADDED)
 
 
 # Every place of every document against every window of the same number of words.

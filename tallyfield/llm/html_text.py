@@ -171,10 +171,10 @@ def main_text(html: str | None) -> str:
     return "\n".join(line for line, _, p in parser.lines if region in p)
 
 
-def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """``pages`` with ``text`` and its ``n_chars``."""
+def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """``pages``, or its columns ``keep``, with ``text`` and its ``n_chars``."""
     def work(pages: list[str | None]) -> list:
         texts = [main_text(p) for p in pages]
         return [texts, [len(t) for t in texts]]
 
-    return add_columns(pages.drop("text", "n_chars"), [html_col], "text string, n_chars long", lambda: work)
+    return add_columns(pages.drop("text", "n_chars"), [html_col], "text string, n_chars long", lambda: work, keep)

@@ -134,9 +134,9 @@ def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], list[
             np.where(has_letter, share, 0.0).tolist())
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``. No other column is looked at."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs``, or its columns ``keep``, with ``lang_pred`` and ``score``. No other column is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("lang_pred", "score")
     return add_columns(kept, [text_col], "lang_pred string, score double",
-                       lambda: lambda texts: score_texts(texts, shared.value))
+                       lambda: lambda texts: score_texts(texts, shared.value), keep)

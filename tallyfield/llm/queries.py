@@ -20,8 +20,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_bucket("doc_id", 3) == 1
     model = language_id.fit(docs, ~held_out)
-    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model) \
-        .select("doc_id", "held_out", "lang_pred", "score")
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,16 +33,15 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(
-        load_table(spark, sf_dir, "documents").select("doc_id", "text"), load_table(spark, sf_dir, "benchmark")) \
-        .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+        load_table(spark, sf_dir, "documents").select("doc_id", "text"), load_table(spark, sf_dir, "benchmark"),
+        keep=["doc_id"])
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_bucket("doc_id", 5) == 0
     model = toxicity.fit(docs, load_table(spark, sf_dir, "labels"), ~held_out)
-    return toxicity.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model) \
-        .select("doc_id", "held_out", "score", "predicted")
+    return toxicity.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +63,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract(load_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+    return html_text.extract(load_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
 QUERIES = {name: shipped(plan) for name, plan in {

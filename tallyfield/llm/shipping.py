@@ -14,13 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 import tallyfield
 
 _SHIPPED: set[str] = set()
+# Bytes of rows that reach a Python worker at once, unless the session names another number.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m")
 
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package, wherever the session was started.
 
-    Once per application the package's sources go to the executors as a Python file of the job.
+    Once per application the package's sources go to the executors as a Python file of the job. A
+    session that has Spark's default for the size of Arrow batches gets a smaller one: long texts
+    would otherwise fill the memory beside the heap.
     """
+    key, default, smaller = BATCH_BYTES
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, smaller)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

@@ -52,6 +52,7 @@ def held(key: object, make: Callable[[], object]) -> object:
     if key not in _HELD:
         _HELD.clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
         _HELD[key] = make()
     return _HELD[key]
 

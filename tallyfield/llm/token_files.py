@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tallyfield.llm.tables import row_slices
+from tallyfield.llm.tables import held, row_slices
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -130,7 +130,8 @@ class Encoder:
     encoded once and remembered; for any other tokenizer every text is encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, parts_kept: int = PARTS_KEPT):
+        self.parts_kept = parts_kept
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as file:
             config = json.load(file)
@@ -173,7 +174,7 @@ class Encoder:
                 plain[word] = PLAIN_SPLIT.findall(word.lower())
             else:
                 other.append(word)
-        if len(self.parts) > PARTS_KEPT:
+        if len(self.parts) > self.parts_kept:
             self.parts = {}
         new = list({p for parts in plain.values() for p in parts}.difference(self.parts))
         self.parts.update(zip(new, self._whole(self.units, new), strict=True))
@@ -182,23 +183,19 @@ class Encoder:
         self.words.update(zip(other, self._whole(self.tokenizer, other), strict=True))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
+def encoder(path: str, parts_kept: int = PARTS_KEPT) -> Encoder:
     """The worker's encoder for a tokenizer file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path, parts_kept), lambda: Encoder(path, parts_kept))
 
 
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", parts_kept: int = PARTS_KEPT,
 ) -> None:
     """Encode every text, append ``end_id``, and write the segments to ``folder``.
 
+    ``parts_kept`` trades a worker's memory for time; the ids are the same.
+
     The one shuffle ranges the rows by document, so every task writes one run of documents.
     """
     id_type = docs.schema[id_col].dataType
@@ -213,7 +210,7 @@ def write_tokens(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encode = TaskContext.get().partitionId(), encoder(tokenizer)
+        shard, encode = TaskContext.get().partitionId(), encoder(tokenizer, parts_kept)
         seq = first = size = 0
         ids: list[object] = []
         codes: list[bytes] = []
