@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
@@ -11,7 +12,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.operators.sampling import hash_bucket
+from tallyfield.operators.sampling import hash_bucket, hash_sample
 from tallyfield.sources.generators import local_rows
 
 # Full search grids.
@@ -27,6 +28,9 @@ SEED = 1
 MULTI_MAX_BINS = 38
 
 FOLD = "cv_fold"
+FOLD_KEY = "cv_key"
+FIT_SEED = 11
+FIT_PARTITION_ROWS = 4_000
 
 
 def logistic_search(
@@ -50,19 +54,45 @@ def tree_search(
     return tree, grid.build()
 
 
+class BoundedCrossValidator(CrossValidator):
+    """Fits each fold's settings on about ``fit_rows`` of its training rows, picked by a hash of the
+    row key. Every validation row is scored, and the best setting is fitted on all rows."""
+
+    fit_rows = 0
+
+    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        counts = {r[FOLD]: r["count"] for r in dataset.groupBy(FOLD).count().collect()}
+        pairs = []
+        for fold in range(self.getNumFolds()):
+            total = sum(counts.values()) - counts.get(fold, 0)
+            training = dataset.filter(
+                (F.col(FOLD) != fold) & hash_sample([FOLD_KEY], self.fit_rows, total, FIT_SEED))
+            # A fit is many small jobs: its rows, which are few whatever the input, take few tasks.
+            parts = math.ceil(min(self.fit_rows, total) / FIT_PARTITION_ROWS)
+            training = training.repartition(max(1, parts), FOLD_KEY)
+            if fold not in counts or training.isEmpty():
+                raise ValueError(f"fold {fold} has no rows to fit or to validate on")
+            pairs.append((training, dataset.filter(F.col(FOLD) == fold)))
+        return pairs
+
+
 def cross_validate(
     df: DataFrame, search: tuple, label: str, keys: Sequence[str], folds: int = FOLDS,
-    parallelism: int = 4, seed: int = SEED,
+    parallelism: int = 4, seed: int = SEED, fit_rows: int | None = None,
 ) -> CrossValidatorModel:
     """k-fold search by accuracy. The fold follows from the row key, so partitioning, retries and
-    cluster size do not change which rows a fold holds."""
+    cluster size do not change which rows a fold holds. ``fit_rows`` bounds the rows that a setting
+    is fitted on; accuracies are always those of all rows."""
     estimator, grid = search
-    validator = CrossValidator(
+    validator = (CrossValidator if fit_rows is None else BoundedCrossValidator)(
         estimator=estimator, estimatorParamMaps=grid, evaluator=accuracy_evaluator(label),
         numFolds=folds, foldCol=FOLD, parallelism=parallelism,
     )
-    folded = df.select(
-        label, estimator.getFeaturesCol(), hash_bucket(keys, folds, seed).alias(FOLD)).persist()
+    columns = [label, estimator.getFeaturesCol(), hash_bucket(keys, folds, seed).alias(FOLD)]
+    if fit_rows is not None:
+        validator.fit_rows = fit_rows
+        columns.append(F.xxhash64(*keys).alias(FOLD_KEY))
+    folded = df.select(*columns).persist()
     try:
         return validator.fit(folded)
     finally:

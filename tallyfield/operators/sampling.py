@@ -23,6 +23,14 @@ def hash_bucket(keys: Sequence[str], buckets: int, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(buckets)).cast("int")
 
 
+def hash_sample(keys: Sequence[str], rows: int, total: int, seed: int = 0) -> Column:
+    """Whether a row key is among about ``rows`` of ``total`` keys. The threshold has 64 bits, so it
+    stays exact for any total."""
+    if rows >= total:
+        return F.lit(True)
+    return F.xxhash64(F.lit(seed), *keys) < F.lit(rows * 2**64 // total - 2**63)
+
+
 def portable_bucket(keys: Sequence[str], buckets: int, seed: int = 0) -> Column:
     """Bucket number from the MD5 of seed and keys joined by ``|``, as any engine can compute it."""
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))

@@ -113,8 +113,9 @@ LABEL = "label"
 ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 NUMERIC = ["l_quantity", "l_discount", "l_tax"]
 CATEGORICAL = ["l_returnflag", "l_linestatus"]
-# A search fits each setting on about so many training rows, picked by a hash of the row key: 475
-# fits over all rows would tell no more about a grid. Everything else uses all rows.
+# A search fits each setting on about so many training rows of a fold, picked by a hash of the row key:
+# 475 fits over all rows would tell no more about a grid. Everything else, the validation and the
+# fit of the best setting too, uses all rows.
 SEARCH_ROWS = 8_000
 
 
@@ -140,45 +141,30 @@ def prepared(spark, sf):
     return tuple(fitted.transform(rows).select(*ROW_KEY, LABEL, "features_lr", "features_dt") for rows in (train, new))
 
 
-def search_rows(train):
-    share = min(1.0, SEARCH_ROWS / max(1, train.count()))
-    # So few rows are one task's work; a fit is hundreds of small jobs over them.
-    return keyed_split(train, ROW_KEY, share, seed=11)[0].coalesce(1).persist()
-
-
 def lr_search(rows):
     search = models.logistic_search(LABEL, "features_lr", reg=models.MULTI_REG)
-    return models.cross_validate(rows, search, LABEL, ROW_KEY, parallelism=8)
+    return models.cross_validate(rows, search, LABEL, ROW_KEY, parallelism=8, fit_rows=SEARCH_ROWS)
 
 
 def dt_search(rows):
     search = models.tree_search(
         LABEL, "features_dt", models.MULTI_DEPTH, models.MULTI_MIN_INSTANCES, maxBins=models.MULTI_MAX_BINS)
-    return models.cross_validate(rows, search, LABEL, ROW_KEY, parallelism=8)
-
-
-def searched(train, *searches):
-    """The results of the searches over the same rows, which are read once."""
-    rows = search_rows(train)
-    try:
-        return [search(rows) for search in searches]
-    finally:
-        rows.unpersist()
+    return models.cross_validate(rows, search, LABEL, ROW_KEY, parallelism=8, fit_rows=SEARCH_ROWS)
 
 
 def lr_cv_summary(spark, sf):
     train, _ = prepared(spark, sf)
-    return models.cv_summary(spark, *searched(train, lr_search))
+    return models.cv_summary(spark, lr_search(train))
 
 
 def dt_cv_summary(spark, sf):
     train, _ = prepared(spark, sf)
-    return models.cv_summary(spark, *searched(train, dt_search))
+    return models.cv_summary(spark, dt_search(train))
 
 
 def cv_best(spark, sf):
     train, _ = prepared(spark, sf)
-    return models.cv_best(spark, *searched(train, dt_search))
+    return models.cv_best(spark, dt_search(train))
 
 
 def fitted_tree(train):
@@ -206,7 +192,7 @@ def tree_leaf_scores(spark, sf):
 def model_selection(spark, sf):
     """Search both model families, then judge the better one on the held-out rows."""
     train, held_out = prepared(spark, sf)
-    searches = dict(zip(("logistic", "tree"), searched(train, lr_search, dt_search)))
+    searches = {"logistic": lr_search(train), "tree": dt_search(train)}
     winner = models.choose_model(searches)
     scored = models.score(searches[winner].bestModel, held_out, [LABEL])
     return metrics.accuracy(scored, LABEL, "prediction").select(

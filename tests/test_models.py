@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators import metrics, models
 from tallyfield.operators.features import feature_columns, feature_stages, fit_features, index_map, slots
+from tallyfield.operators.sampling import hash_sample, keyed_split
 from tallyfield.plans import models as plans
 from tallyfield.sources import local_rows
 
@@ -125,6 +126,33 @@ def test_cross_validation_does_not_depend_on_partitioning(spark, planted):
     assert models.cv_best(spark, one).first().accuracy == max(one.avgMetrics)
 
 
+def test_a_bounded_search_validates_all_rows(spark, planted):
+    train, _ = planted
+    search = models.tree_search("label", "features_dt", (2, 6), (1,))
+    found = models.cross_validate(train, search, "label", plans.ROW_KEY, folds=2, fit_rows=300)
+    sizes = [r["count"] for r in train.groupBy(models.hash_bucket(plans.ROW_KEY, 2, models.SEED)).count().collect()]
+    assert sum(sizes) == train.count() > 1000
+    # A mean of shares of whole folds: times both sizes it is a whole number.
+    for accuracy in found.avgMetrics:
+        whole = 2 * accuracy * sizes[0] * sizes[1]
+        assert whole == pytest.approx(round(whole), abs=1e-4) and accuracy > 0.5
+    every = models.cross_validate(train, search, "label", plans.ROW_KEY, folds=2, fit_rows=10**9)
+    full = models.cross_validate(train, search, "label", plans.ROW_KEY, folds=2)
+    assert every.avgMetrics == full.avgMetrics and found.avgMetrics != full.avgMetrics
+
+
+def test_a_small_sample_of_many_rows_is_not_empty(spark, planted):
+    many = spark.range(400_000, numPartitions=4)
+    assert keyed_split(many, ["id"], 16 / 400_000, seed=11)[0].count() == 0
+    assert 4 <= many.filter(hash_sample(["id"], 16, 400_000, seed=11)).count() <= 40
+    assert many.filter(hash_sample(["id"], 10**6, 400_000)).count() == 400_000
+    folded = many.select((F.col("id") % 3).cast("double").alias("label"), "id", F.lit(0).alias("x"))
+    stages = feature_stages(["x"], [], indexed="v")
+    rows = stages.fit(folded).transform(folded)
+    search = models.tree_search("label", "v", (2,), (1,))
+    assert len(models.cross_validate(rows, search, "label", ["id"], folds=2, fit_rows=16).avgMetrics) == 1
+
+
 def test_models_learn_the_planted_rule(spark, planted):
     train, held_out = planted
     most = held_out.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
