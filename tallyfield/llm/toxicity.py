@@ -61,11 +61,11 @@ COLUMN = {tag: i for i, tag in enumerate(TAGS)}
 class Settings:
     toxic_rows: int = 4000    # labelled rows that training takes at most, by label
     clean_rows: int = 8000
-    # A stem is learned if so many toxic texts, and this share of them, hold it, and clean texts
-    # hold it at most this much as often.
+    # A stem is learned if so many toxic texts hold it, clean texts hold it at most this much as
+    # often, and the counts differ by so many standard errors (root of the likelihood ratio).
     min_toxic: int = 3
-    min_toxic_share: float = 0.01
     max_clean_share: float = 0.1
+    min_errors: float = 3.0
     stem_chars: tuple[int, int] = (4, 10)
     ridge: float = 0.05
 
@@ -215,9 +215,12 @@ def pick_stems(counts: list[tuple[str, int, int]], toxic: int, clean: int, setti
     """
     rated = []
     for stem, t, c in counts:
-        if t >= max(settings.min_toxic, settings.min_toxic_share * toxic) and c / max(clean, 1) <= settings.max_clean_share * t / toxic:
+        if t >= settings.min_toxic and c / max(clean, 1) <= settings.max_clean_share * t / toxic:
             odds = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
-            rated.append((-t * odds, -len(stem), stem, odds))
+            expected = (t + c) * toxic / (toxic + clean)
+            ratio = t * math.log(t / expected) + (c * math.log(c / (t + c - expected)) if c else 0.0)
+            if 2 * ratio >= settings.min_errors ** 2:
+                rated.append((-t * odds, -len(stem), stem, odds))
     picked: dict[str, float] = dict(SEED_STEMS)
     for _, _, stem, odds in sorted(rated):
         if stem in SEED_STEMS:

@@ -52,6 +52,14 @@ def test_stems_are_whole_and_not_nested():
     assert set(learned) - set(tox.INSULTS) == {"lowei"}
 
 
+def test_a_rare_vocabulary_is_learned_by_its_evidence():
+    toxic, clean = 4000, 8000
+    insults = [(stem, 8, 0) for stem in ("tontaco", "brutal", "canalla", "gandul")]
+    chance = [("window", 3, 0), ("garden", 3, 0), ("letter", 20, 30)]
+    learned = tox.pick_stems([*insults, *chance, ("zorbing", 3000, 5)], toxic, clean, tox.Settings())
+    assert set(learned) - set(tox.INSULTS) == {"tontaco", "brutal", "canalla", "gandul", "zorbing"}
+
+
 SCHEMA = "doc_id long, text string, score string, predicted string, toxic string"
 
 
