@@ -6,7 +6,9 @@ navigation, headers, footers, asides, forms, scripts, styles, or in elements who
 names such parts, are no candidates. Ratios of characters to tags are smoothed over neighbouring
 lines by a Gaussian and split into two clusters by a threshold. The content region is the innermost
 container that holds nearly all of the high cluster's characters, widened to the article or main
-element around it; all candidate lines of the region are its text, short ones too.
+element around it. Without one, it is widened to the container that holds all content lines: those
+of the high cluster, and headings, paragraphs and cells that are not mostly links. All candidate
+lines of the region are its text, short ones too; what widening adds comes without lines of links.
 
 Cases. NULL, empty and text-free pages give an empty text. Broken markup is read as far as it goes:
 an end tag closes what is open inside it, an end tag without a start is ignored, the end of the page
@@ -41,6 +43,8 @@ SKIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 CONTAINERS = frozenset("html body div section article main td center blockquote".split())
 ARTICLES = ("article", "main")
+PARTS = frozenset(("td", "blockquote"))  # Containers that are no region of their own.
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th blockquote figcaption caption".split())
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # The container must hold this share of the characters in the high cluster.
 SHARE = 0.8
@@ -48,16 +52,19 @@ SIGMA = 1.0
 
 
 class Lines(HTMLParser):
-    """Lines of a page: text, tags, container path, and whether a line is a candidate."""
+    """Candidate lines of a page: text, tags, container path; and for each whether it is of links, and in a text block."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.open: list[tuple[str, bool, int]] = []  # (tag, is skipped, container number or -1)
         self.tags_of: list[str] = []  # by container number
+        self.kinds: list[tuple[bool, bool]] = []  # by line
         self.text: list[str] = []
         self.tags = 0
         self.skipping = 0
+        self.links = 0  # open ones
+        self.linked = 0  # characters of the line in links, without white space
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -78,6 +85,7 @@ class Lines(HTMLParser):
             self.tags_of.append(tag)
         self.open.append((tag, skipped, number))
         self.skipping += skipped
+        self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -97,6 +105,7 @@ class Lines(HTMLParser):
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 self.skipping -= sum(skipped for _, skipped, _ in self.open[k:])
+                self.links -= sum(t == "a" for t, _, _ in self.open[k:])
                 del self.open[k:]
                 return
             if self.open[k][0] in barrier:
@@ -105,13 +114,17 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.skipping:
             self.text.append(data)
+            if self.links:
+                self.linked += len("".join(data.split()))
 
     def end_line(self) -> None:
         line = " ".join("".join(self.text).split())
         self.text = []
         if line:
             self.lines.append((line, self.tags, tuple(n for _, _, n in self.open if n >= 0)))
+            self.kinds.append((2 * self.linked > len(line.replace(" ", "")), any(t in TEXT_BLOCKS for t, _, _ in self.open)))
             self.tags = 0
+        self.linked = 0
 
 
 def named_so(attrs: list[tuple[str, str | None]]) -> bool:
@@ -163,12 +176,18 @@ def main_text(html: str | None) -> str:
         for number in path:
             held[number] = held.get(number, 0.0) + size
     enough = SHARE * (sizes * chosen).sum()
-    inner = max((n for n, size in held.items() if size >= enough), default=-1)
+    inner = max((n for n, size in held.items() if size >= enough and parser.tags_of[n] not in PARTS), default=-1)
     if inner < 0:
         return "\n".join(line for line, _, _ in parser.lines)
     path = next(p[:p.index(inner) + 1] for _, _, p in parser.lines if inner in p)
-    region = next((n for n in path if parser.tags_of[n] in ARTICLES), inner)
-    return "\n".join(line for line, _, p in parser.lines if region in p)
+    article = next((n for n in path if parser.tags_of[n] in ARTICLES), None)
+    if article is not None:
+        return "\n".join(line for line, _, p in parser.lines if article in p)
+    content = [p for (_, _, p), picked, (links, block) in zip(parser.lines, chosen, parser.kinds, strict=True)
+               if not links and (picked or block)]
+    region = next((n for n in reversed(path) if all(n in p for p in content)), None)
+    return "\n".join(line for (line, _, p), (links, _) in zip(parser.lines, parser.kinds, strict=True)
+                     if inner in p or not links and (region is None or region in p))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:

@@ -28,6 +28,26 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = " ".join([BODY] * 6)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><div class=c1><section><h2>A</h2><p>{LONG}</p><p>{LONG}</p></section><section><h2>B</h2><p>{BODY}</p></section></div>",
+     f"A\n{LONG}\n{LONG}\nB\n{BODY}"),
+    (f"<body><div><div><div><p>{LONG}</p><p>{LONG}</p></div></div><div><h3>Notes</h3><p>Short.</p></div></div>",
+     f"{LONG}\n{LONG}\nNotes\nShort."),
+    (f"<div><p>He wrote:</p><blockquote><p>{LONG}</p><p>{LONG}</p></blockquote><p>I agree.</p></div>",
+     f"He wrote:\n{LONG}\n{LONG}\nI agree."),
+    (f"<body><table><tr><td><p>{LONG}</p><p>{LONG}</p></td><td><p>{BODY}</p></td></tr></table>", f"{LONG}\n{LONG}\n{BODY}"),
+    (f"<body><div><a>Home</a> <a>About</a></div><div><p>{LONG}</p></div><div><p>End.</p></div><ul><li><a>Next</a></ul>",
+     f"{LONG}\nEnd."),
+    (f"<p>Intro.</p><div><p>{LONG}</p><p>{LONG}</p></div>", f"Intro.\n{LONG}\n{LONG}"),
+    (f"<body><div><a>Home</a> <a>About</a></div><div><p>{LONG} <a>link</a></p></div>", f"{LONG} link"),
+])
+def test_sections_without_an_article_stay(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_clusters():
     assert html_text.high(html_text.np.array([1.0, 1, 1, 50, 60])).tolist() == [False] * 3 + [True] * 2
     assert html_text.high(html_text.np.array([4.0, 4])).all()
