@@ -2,8 +2,8 @@
 
 The standard library's parser streams a page's events. Text between block tags is one line; a line
 knows its characters, the tags that came with it, and the containers it stands in. Lines in
-navigation, headers, footers, asides, forms, scripts, styles, or in elements whose class, id or role
-names such parts, are no candidates. Ratios of characters to tags are smoothed over neighbouring
+navigation, headers, footers, asides, forms, scripts, styles, in elements whose role names such
+parts, or in block containers of which a whole class or id does, are no candidates. Ratios of characters to tags are smoothed over neighbouring
 lines by a Gaussian and split into two clusters by a threshold. The content region is the innermost
 container that holds nearly all of the high cluster's characters, widened to the article or main
 element around it. Without one, it is widened to the container that holds all content lines: those
@@ -19,6 +19,7 @@ added one, which then replaces it.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -39,13 +40,19 @@ SKIPPED_NAMES = frozenset(
     " submenu breadcrumb breadcrumbs header masthead footer sidebar aside widget cookie cookies consent notice notices"
     " alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comment"
     " comments respond disqus reply replies form search toolbar pagination pager skip".split())
+# Words that a class or id may have beside one of the names, and the elements that are skipped by it.
+PLACES = frozenset(
+    "site page main global top bottom left right upper lower primary secondary mobile desktop inner outer wrapper wrap"
+    " container box block area section bar list links link buttons button icons item items posts articles slot unit text"
+    " title".split())
+NAMED_BLOCKS = frozenset("div section td center table tr th ul ol dl li".split())
 SKIPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 CONTAINERS = frozenset("html body div section article main td center blockquote".split())
 ARTICLES = ("article", "main")
 PARTS = frozenset(("td", "blockquote"))  # Containers that are no region of their own.
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th blockquote figcaption caption".split())
-NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+|[^\W\d_]+")
 # The container must hold this share of the characters in the high cluster.
 SHARE = 0.8
 SIGMA = 1.0
@@ -78,7 +85,7 @@ class Lines(HTMLParser):
         # A repeated paragraph or item ends the one before.
         if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):
             self.leave(tag, stop=CONTAINERS - {tag} | {"ul", "ol", "dl", "table"})
-        skipped = tag not in ("html", "body") and (tag in SKIPPED or named_so(attrs))
+        skipped = tag not in ("html", "body") and (tag in SKIPPED or named_so(tag, attrs))
         number = -1
         if tag in CONTAINERS:
             number = len(self.tags_of)
@@ -127,10 +134,18 @@ class Lines(HTMLParser):
         self.linked = 0
 
 
-def named_so(attrs: list[tuple[str, str | None]]) -> bool:
+@lru_cache(10_000)
+def names_part(token: str) -> bool:
+    """Whether all words of a class or id are names of skipped parts, places or numbers; one is a name."""
+    words = [w.lower() for w in NAME_PARTS.findall(token)]
+    return not SKIPPED_NAMES.isdisjoint(words) and all(
+        w in SKIPPED_NAMES or w in PLACES or w.isdigit() for w in words)
+
+
+def named_so(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         if name in ("class", "id") and value:
-            if not SKIPPED_NAMES.isdisjoint(p.lower() for p in NAME_PARTS.findall(value)):
+            if tag in NAMED_BLOCKS and any(map(names_part, value.split())):
                 return True
         elif name == "role" and value and value.strip().lower() in SKIPPED_ROLES:
             return True

@@ -48,6 +48,21 @@ def test_sections_without_an_article_stay(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article class='post with-sidebar'><p>{BODY}</p></article>", BODY),
+    (f"<div id='content' class='no-comments has-ads'><p>{BODY}</p></div>", BODY),
+    (f"<article><h2 id='search-algorithms'>S</h2><p>{BODY}</p><h2 id='social-effects'>E</h2><p>Ok.</p></article>",
+     f"S\n{BODY}\nE\nOk."),
+    (f"<article><p>{BODY}</p><section id='related-work'><h2 id=header>R</h2><p class=notice>Ok.</p></section></article>",
+     f"{BODY}\nR\nOk."),
+    (f"<main class=main-form><p>{BODY} <span class=share>now</span></p></main>", f"{BODY} now"),
+    (f"<article><p>{BODY}</p><div class='post ad'>no</div><div class='share-buttons'>no</div><section id=relatedPosts>no"
+     "</section><div class='ad-slot-2'>no</div><ul class=site-nav><li>no</ul></article>", BODY),
+])
+def test_names_of_parts_count_as_a_whole_on_blocks(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_clusters():
     assert html_text.high(html_text.np.array([1.0, 1, 1, 50, 60])).tolist() == [False] * 3 + [True] * 2
     assert html_text.high(html_text.np.array([4.0, 4])).all()
