@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyfield.llm import (
     decontaminate, embeddings, html_text, language_id, mixing, passages, secrets, simhash, token_files, toxicity,
+    whitening,
 )
 from tallyfield.llm.shipping import shipped
 from tallyfield.llm.tables import crc_bucket
@@ -66,6 +68,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(load_table(spark, sf_dir, "embeddings"))
+    # The contract asks for a long; sums that do not fit one are NULL.
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
@@ -77,6 +85,7 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
+    "op12_whitening": op12_whitening,
 }.items()}
 ORACLE: dict[str, str] = {
     "op2_secret_scan": secrets.oracle(),
