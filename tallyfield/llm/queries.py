@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import (
-    decontaminate, embeddings, html_text, language_id, mixing, passages, secrets, simhash, token_files, toxicity,
+    decontaminate, embeddings, html_text, language_id, mixing, neighbours, passages, secrets, simhash, token_files, toxicity,
     whitening,
 )
 from tallyfield.llm.shipping import shipped
@@ -74,6 +74,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(load_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {name: shipped(plan) for name, plan in {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
@@ -86,6 +90,7 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
     "op12_whitening": op12_whitening,
+    "op13_neighbours": op13_neighbours,
 }.items()}
 ORACLE: dict[str, str] = {
     "op2_secret_scan": secrets.oracle(),
