@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import (
-    decontaminate, embeddings, html_text, language_id, mixing, neighbours, passages, secrets, simhash, token_files, toxicity,
+    alignment, decontaminate, embeddings, html_text, language_id, mixing, neighbours, passages, secrets, simhash, token_files, toxicity,
     whitening,
 )
 from tallyfield.llm.shipping import shipped
@@ -16,6 +16,8 @@ from tallyfield.sources.scratch import scratch_dir
 from tallyfield.sources.tables import load_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(load_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(load_table(spark, sf_dir, "embeddings"))
     # The contract asks for a long; sums that do not fit one are NULL.
@@ -89,6 +95,7 @@ QUERIES = {name: shipped(plan) for name, plan in {
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_html_text": op10_html_text,
+    "op11_alignment": op11_alignment,
     "op12_whitening": op12_whitening,
     "op13_neighbours": op13_neighbours,
 }.items()}
