@@ -2,8 +2,11 @@
 
 import html
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tallyfield.llm import html_text, queries
 from tallyfield.sources.tables import load_table
 
@@ -63,6 +66,62 @@ def test_names_of_parts_count_as_a_whole_on_blocks(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<main><article><p>{LONG}</p></article><section class=reader-comments><p>{BODY}</p></section></main>", LONG),
+    (f"<article><p>{LONG}</p><div class=post-comments><p>{BODY}</p></div><div id=user-comments>{BODY}</div></article>", LONG),
+    (f"<main><h1>T</h1><p>{LONG}</p><article class=comment><p>{BODY}</p></article><article class='comment-12'>{BODY}</article></main>",
+     f"T\n{LONG}"),
+    (f"<article><p>{LONG}</p><article><p>{BODY}</p></article><article><p>{BODY}</p></article></article>", LONG),
+    (f"<article class=post><h1>T</h1><article class=entry><p>{LONG}</p></article></article>", LONG),
+    (f"<article><p>{LONG}</p><p class=ad>{BODY}</p><figure class=advert>{BODY}</figure><div class=google-ad>{BODY}</div>"
+     f"<div class=ad-300x250>{BODY}</div><p>End</p></article>", f"{LONG}\nEnd"),
+    (f"<main><article><h1>T</h1><p>{LONG}</p></article><section class=more-stories><h2>More</h2><p>{BODY}</p></section></main>",
+     f"T\n{LONG}"),
+    (f"<article><header><h1>Head</h1><p>By one</p></header><p>{LONG}</p></article>", f"Head\nBy one\n{LONG}"),
+    (f"<body><header><h1>Site</h1></header><div><p>{LONG}</p></div>", LONG),
+    (f"<article><header><p>Menu</p></header><p>{LONG}</p></article>", LONG),
+    (f"<article><p>{LONG}</p><table class=form><tr><td>{BODY}</td><td>cell</td></tr></table></article>", f"{LONG}\n{BODY}\ncell"),
+    (f"<article><p>{LONG}</p><section id=search><h2>S</h2><p>{BODY}</p></section><div class=search>Find</div></article>",
+     f"{LONG}\nS\n{BODY}"),
+    (f"<article class='comments-open'><p>{LONG}</p><section id='ad-hoc-work'><p>{BODY}</p></section></article>", f"{LONG}\n{BODY}"),
+    (f"<article><p>{LONG}</p><h2 id=comments>C</h2><p>{BODY}</p></article>", f"{LONG}\nC\n{BODY}"),
+])
+def test_what_names_and_places_decide(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p>Use <![ in C</p><p>ok</p>", "Use\nok"), ("<p>a</p><![ y><p>b</p>", "a\nb"), ("<p>a<![1]>b</p>", "ab"), ("a<![b] c", "a"),
+    ("<p>a<![if !IE]>b<![endif]>c</p>", "abc"), ("<p>a<![CDATA[x]]>b</p>", "ab"), ("<p>a<!-- b --!>c<!-->d<!--->e</p>", "acde"),
+    ("<p>a</p><!-- <p>b</p> <p>c</p>", "a"), ("<p>a</p>b <a href='x", "a\nb"), ("<p>1 < 2</p>3 < 4 &amp; 5", "1 < 2\n3 < 4 & 5"),
+    ("<p>a</p><script>b</p> c", "a"), ("<!doctype html [<!ELEMENT x>]><p>a</p>", "]>\na"), ("<p a='b>c</p>d", "c\nd"),
+    ("<!DOCTYPE><p>a<?php x ?>b</p>", "ab"), ("</><//a><p>a</p><", "a\n<"),
+])
+def test_broken_declarations(page, text):
+    assert html_text.main_text(page) == text
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.sampled_from(
+    ["<![", "<!", "<!--", "-->", "]>", "]]>", "<a ", "<a b='", '<p c="', "<p>", "</p>", "<div>", "</div>", "<article>", "</article>",
+     "<header>", "</header>", "<script>", "</script", "<td>", "<li>", "</", "<?", "<", ">", "&", "&#", "&amp", "x y", "=", "/", "'", '"',
+     "<section class=comments>", "</section>", "<h1>", "<b>", "</i>", "\0", "<br/>", "<!doctype ", "<![if"]), max_size=40).map("".join))
+def test_any_markup_is_read(page):
+    text = html_text.main_text(page)
+    assert all(line and line == " ".join(line.split()) for line in text.split("\n")) or text == ""
+
+
+@pytest.mark.parametrize("piece", [
+    "<a ", "<div><p>x", "<!--", "<!-- x>", "<![ ", "<![x>", "<header><h1>x", "<article>x ", "</p>", "<b></i>", "<i><div><b>", "<td>x",
+    "<p a='", '<p a="x', "</a ", "&", "&#x", "<table class=form>x", "<li><ul>", "<a / ", "<script>", "<x/><", "< "])
+def test_time_grows_as_the_length(piece):
+    page = f"<div><p>{LONG}</p>" + piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    html_text.main_text(page)
+    html_text.main_text(page + ">")
+    assert time.process_time() - start < 12
+
+
 def test_clusters():
     assert html_text.high(html_text.np.array([1.0, 1, 1, 50, 60])).tolist() == [False] * 3 + [True] * 2
     assert html_text.high(html_text.np.array([4.0, 4])).all()
