@@ -268,9 +268,7 @@ def nearest(table: DataFrame, queries: Column | None = None, id_col: str = "vec_
 
 def length(vector: str) -> Column:
     """Euclidean length, without squares that overflow."""
-    x = F.transform(vector, lambda c: F.abs(c.cast("double")))
-    top = F.array_max(x)
-    return top * F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, c: s + (c / top) * (c / top)))
+    return F.aggregate(vector, F.lit(0.0), lambda s, c: F.hypot(s, c.cast("double")))
 
 
 def sample(nodes: DataFrame, dims: int, n: int) -> np.ndarray:
