@@ -29,12 +29,13 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,7 @@ from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from tallyfield.llm.tables import add_columns, held, row_slices, stored
+from tallyfield.llm.tables import gathered, held, stored
 
 # Pairs whose functions and counts are broadcast at once: some 14 bytes each.
 MOST_PAIRS = 8_000_000
@@ -54,10 +55,16 @@ FAN = 32
 PIECE = 65_536
 # Distinct pairs that a task gathers before it hands them on.
 GATHERED = 2_000_000
+# Bytes of texts that are aligned at once, or one longer batch.
+SLICE_BYTES = 6_000_000
+# Ids that are written as text at once.
+AT_ONCE = 100_000
 # Longer units go to the library whose time does not grow with their square.
 LONG_UNIT = 1000
 CUT = re.compile(r"(?<=\S) (?=\S)")
-ODD_SPACE = re.compile(r"^ | $| \s|\s ")
+SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+ODD_SPACE = rf"\A | \z| {SPACE}|{SPACE} "
+OUTER_SPACE = rf"\A{SPACE}|{SPACE}\z"
 # Fixed value: the split of byte-level vocabularies.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Bits per pair of a level.
@@ -159,6 +166,33 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+class Strings:
+    """Byte strings by number."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array(list(map(len, strings)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(strings), np.uint8)
+
+    def text(self, numbers: np.ndarray) -> np.ndarray:
+        """The strings with these numbers, one after another."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        return self.letters[np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+
+    def writes(self, numbers: np.ndarray, text: np.ndarray) -> bool:
+        """Whether the strings make up ``text``."""
+        if int(self.sizes[numbers].sum()) != len(text):
+            return False
+        at = 0
+        for start in range(0, len(numbers), AT_ONCE):
+            part = self.text(numbers[start:start + AT_ONCE])
+            if not np.array_equal(part, text[at:at + len(part)]):
+                return False
+            at += len(part)
+        return True
+
+
 class Encoders:
     """Both tokenizers, and the bytes of their ids."""
 
@@ -171,12 +205,12 @@ class Encoders:
             config = json.load(file)
         special = {t["id"] for t in config["added_tokens"]}
         names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
-        self.a_bytes = [name.encode() if i in special else bytes(letters[c] for c in name) for i, name in enumerate(names)]
+        a_bytes = [name.encode() if i in special else bytes(letters[c] for c in name) for i, name in enumerate(names)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode()
-                        for i, p in enumerate(pieces)]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode()
+                   for i, p in enumerate(pieces)]
         self.size = len(pieces)
-        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.a_table, self.b_table = Strings(a_bytes), Strings(b_bytes)
         byte_level = (
             config["normalizer"] is None and config["post_processor"] is None and config["pre_tokenizer"] == {
                 "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
@@ -192,19 +226,18 @@ class Encoders:
         if self.by_unit and made == list(range(256, 256 + len(made))) and not config["model"]["ignore_merges"]:
             self.ranked = tiktoken.Encoding(
                 "ranked", pat_str=BYTE_SPLIT, special_tokens={},
-                mergeable_ranks={t: i for i, t in enumerate(self.a_bytes) if i not in special})
-        # The strings of an id that another of its group, the other side or another group follows.
-        self.written = [[str(i).encode() + end for i in range(len(names)) for end in (b",", b"|")],
-                        [str(i).encode() + end for i in range(len(pieces)) for end in (b",", b";")]]
-
-    def ids_a(self, units: list[str]) -> np.ndarray:
-        """Ids of all units, each with a space before it, one after another."""
-        short = 0
-        if self.ranked is not None:
-            short = next((i for i, u in enumerate(units) if apart(u)), len(units))
-        found = [self.ranked.encode_to_numpy(" " + " ".join(units[:short]), disallowed_special=())] if short else []
-        if short < len(units):
-            found += [e.ids for e in self.a.encode_batch_fast([" " + u for u in units[short:]], add_special_tokens=False)]
+                mergeable_ranks={t: i for i, t in enumerate(a_bytes) if i not in special})
+        # Every id as text, A before B, with the sign behind it: another of its side, or the other side
+        # or the next group.
+        self.written = Strings([str(i).encode() + end for side, ends in ((names, (b",", b"|")), (pieces, (b",", b";")))
+                                for i in range(len(side)) for end in ends])
+
+    def ids_a(self, units: list[str], joined: int) -> np.ndarray:
+        """Ids of all units, each with a space before it, one after another; the first ``joined`` units at once."""
+        joined = 0 if self.ranked is None else joined
+        found = [self.ranked.encode_to_numpy(" " + " ".join(units[:joined]), disallowed_special=())] if joined else []
+        if joined < len(units):
+            found += [e.ids for e in self.a.encode_batch_fast([" " + u for u in units[joined:]], add_special_tokens=False)]
         return np.concatenate([np.asarray(f, np.int64) for f in found]) if found else np.zeros(0, np.int64)
 
 
@@ -216,48 +249,70 @@ def encoders(byte_path: str, piece_path: str) -> Encoders:
 class Aligned:
     """The texts of a slice as numbers of units, and what is counted in every unit."""
 
-    def __init__(self, made: Encoders, texts: list[str | None]):
+    def __init__(self, made: Encoders, texts: pa.Array):
         self.made = made
-        split = [cut(t) if t and made.by_unit else [t] if t else [] for t in texts]
-        units, good = self.encode(split)
+        texts = texts.cast(pa.large_string())
+        there = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False)
+        odd = there.copy()
+        if made.by_unit:
+            odd &= pc.fill_null(pc.match_substring_regex(texts, ODD_SPACE), False).to_numpy(zero_copy_only=False)
+        own = {i: CUT.split(texts[i].as_py()) if made.by_unit else [texts[i].as_py()] for i in np.flatnonzero(odd).tolist()}
+        good = self.encode(texts, there & ~odd, own)
         if not good.all():
             # Tokens of some unit differ from its text; what counts are the tokens of the whole text.
-            index = dict(zip(units, good.tolist(), strict=True))
-            split = [parts if all(map(index.__getitem__, parts)) else [t] for t, parts in zip(texts, split, strict=True)]
-            units, good = self.encode(split)
-        index = {u: i for i, u in enumerate(units)}
-        self.rows = [np.fromiter(map(index.__getitem__, parts), np.int64, len(parts)) for parts in split]
-        if not good.all():
+            bad = [i for i, r in enumerate(self.rows) if not good[r].all()]
+            own |= {i: [texts[i].as_py()] for i in bad}
+            odd[bad] = True
+            good = self.encode(texts, there & ~odd, own)
             self.rows = [r if good[r].all() else r[:0] for r in self.rows]
-        self.used = np.bincount(np.concatenate(self.rows), minlength=len(units)) if units else np.zeros(0, np.int64)
+        self.used = np.bincount(np.concatenate([*self.rows, np.zeros(0, np.int64)]), minlength=len(good))
         self.count()
 
-    def encode(self, split: list[list[str]]) -> tuple[list[str], np.ndarray]:
-        """The distinct units, those to encode apart last, and whether each one's tokens make up its text."""
+    def encode(self, texts: pa.Array, plain: np.ndarray, own: dict[int, list[str]]) -> np.ndarray:
+        """Whether the tokens of each distinct unit make up its text. Units that are encoded apart come
+        last. ``plain`` texts are cut at every space, ``own`` has the units of others."""
         made = self.made
-        units = sorted(dict.fromkeys(chain.from_iterable(split)), key=apart)
-        texts = [(" " + u).encode() for u in units]
-        self.ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-        self.a = made.ids_a(units)
-        found = made.b.encode(units, num_threads=1) if units else []
+        split = pc.split_pattern(pc.if_else(pa.array(plain), texts, pa.scalar(None, texts.type)), " ")
+        lengths = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = pa.concat_arrays([split.flatten(), pa.array(list(chain.from_iterable(own.values())), texts.type)])
+        coded = flat.dictionary_encode()
+        units, numbers = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        alone = pc.or_(pc.greater(pc.binary_length(units), LONG_UNIT), pc.match_substring_regex(units, OUTER_SPACE)) \
+            .to_numpy(zero_copy_only=False)
+        order = np.argsort(alone, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        numbers, units = place[numbers], units.take(pa.array(order))
+        self.rows = np.split(numbers[:lengths.sum()], np.cumsum(lengths)[:-1]) if len(lengths) else []
+        at = int(lengths.sum())
+        for i, parts in own.items():
+            self.rows[i] = numbers[at:at + len(parts)]
+            at += len(parts)
+        names = units.to_pylist()
+        sizes = pc.binary_length(units).to_numpy().astype(np.int64) + 1
+        whole = np.frombuffer((" " + " ".join(names)).encode() if names else b"", np.uint8)
+        self.a = made.ids_a(names, len(names) - int(alone.sum()))
+        found = made.b.encode(names, num_threads=1) if names else []
         self.b = np.fromiter(chain.from_iterable(found), np.int64)
-        whole = b"".join(texts)
-        if all(whole == b"".join(map(tokens.__getitem__, ids.tolist()))
-               for ids, tokens in ((self.a, made.a_bytes), (self.b, made.b_bytes))):
-            return units, np.ones(len(units), bool)
-        each = [made.ids_a([u]).tolist() for u in units]
-        good = np.array([b"".join(made.a_bytes[i] for i in a) == b"".join(made.b_bytes[i] for i in b) == t
-                         for a, b, t in zip(each, found, texts, strict=True)], bool)
+        self.ends = np.cumsum(sizes)
+        if made.a_table.writes(self.a, whole) and made.b_table.writes(self.b, whole):
+            return np.ones(len(names), bool)
+        each = [made.ids_a([u], 0) for u in names]
+        found = [np.array(b, np.int64) for b in found]
+        good = np.zeros(len(names), bool)
+        for i, (a, b, end, size) in enumerate(zip(each, found, self.ends.tolist(), sizes.tolist(), strict=True)):
+            text = whole[end - size:end]
+            good[i] = made.a_table.writes(a, text) and made.b_table.writes(b, text)
         # Units whose tokens are not their text stand as empty ones.
-        self.a = np.fromiter(chain.from_iterable(a for a, ok in zip(each, good, strict=True) if ok), np.int64)
-        self.b = np.fromiter(chain.from_iterable(b for b, ok in zip(found, good, strict=True) if ok), np.int64)
-        self.ends = np.cumsum([len(t) if ok else 0 for t, ok in zip(texts, good, strict=True)], dtype=np.int64)
-        return units, good
+        none = np.zeros(0, np.int64)
+        self.a, self.b = (np.concatenate([*(x for x, ok in zip(side, good, strict=True) if ok), none]) for side in (each, found))
+        self.ends = np.cumsum(np.where(good, sizes, 0))
+        return good
 
     def count(self) -> None:
         made = self.made
         total = int(self.ends[-1]) if len(self.ends) else 0
-        ends_a, ends_b = np.cumsum(made.a_sizes[self.a]), np.cumsum(made.b_sizes[self.b])
+        ends_a, ends_b = np.cumsum(made.a_table.sizes[self.a]), np.cumsum(made.b_table.sizes[self.b])
         at_a, at_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
         at_a[ends_a], at_b[ends_b] = True, True
         self.before_a, self.before_b = np.cumsum(at_a), np.cumsum(at_b)  # tokens that end up to an offset
@@ -284,27 +339,15 @@ class Aligned:
         # A group's A ids stand before its B ids: an id moves by the ids of the other side before it.
         of_a = np.searchsorted(in_a, np.arange(len(self.a)), side="right")
         of_b = np.searchsorted(in_b, np.arange(len(self.b)), side="right")
-        place = np.concatenate([
-            np.arange(len(self.a)) + np.concatenate([[0], in_b])[of_a], np.arange(len(self.b)) + in_a[of_b]])
         last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
         last_a[in_a - 1], last_b[in_b - 1] = 1, 1
-        texts = [*map(made.written[0].__getitem__, (2 * self.a + last_a).tolist()),
-                 *map(made.written[1].__getitem__, (2 * self.b + last_b).tolist())]
-        order = np.empty(len(place), np.int64)
-        order[place] = np.arange(len(place))
-        stream = [texts[i] for i in order.tolist()]
-        ends = np.cumsum(self.n_a + self.n_b).tolist()
-        return [b"".join(stream[s:e]) for s, e in zip([0, *ends], ends)]
-
-
-def apart(unit: str) -> bool:
-    """Whether a unit is too long to be encoded joined to others, or its outer white space forbids it."""
-    return len(unit) > LONG_UNIT or unit[0].isspace() or unit[-1].isspace()
-
-
-def cut(text: str) -> list[str]:
-    """The units of a text, none of which is empty."""
-    return CUT.split(text) if ODD_SPACE.search(text) else text.split(" ")
+        stream = np.empty(len(self.a) + len(self.b), np.int64)
+        stream[np.arange(len(self.a)) + np.concatenate([[0], in_b])[of_a]] = 2 * self.a + last_a
+        stream[np.arange(len(self.b)) + in_a[of_b]] = 2 * (self.b + len(made.a_table.sizes)) + last_b
+        text = b"".join(made.written.text(stream[at:at + AT_ONCE]).tobytes() for at in range(0, len(stream), AT_ONCE))
+        letters = np.concatenate([[0], np.cumsum(made.written.sizes[stream])])
+        ends = letters[np.cumsum(self.n_a + self.n_b)].tolist()
+        return [text[s:e] for s, e in zip([0, *ends], ends)]
 
 
 def steps(ends: np.ndarray) -> np.ndarray:
@@ -318,16 +361,15 @@ def counted_pairs(docs: DataFrame, text_col: str, paths: tuple[str, str]) -> Dat
     """(pair, n): how often two ids are linked, summed over a part of a task's documents."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, pairs, counts = encoders(*paths), [], []
-        for batch in batches:
-            for part in row_slices(batch, 0):
-                found, n = Aligned(made, part.column(0).to_pylist()).link_counts()
-                pairs.append(found)
-                counts.append(n)
-                if sum(map(len, pairs)) > GATHERED:
-                    pairs, counts = map(list, zip(added(pairs, counts)))
-                    if len(pairs[0]) > GATHERED // 2:
-                        yield row(pairs, counts)
-                        pairs, counts = [], []
+        for part in gathered(batches, 0, SLICE_BYTES):
+            found, n = Aligned(made, part.column(0)).link_counts()
+            pairs.append(found)
+            counts.append(n)
+            if sum(map(len, pairs)) > GATHERED:
+                pairs, counts = map(list, zip(added(pairs, counts)))
+                if len(pairs[0]) > GATHERED // 2:
+                    yield row(pairs, counts)
+                    pairs, counts = [], []
         if pairs:
             yield row(*map(list, zip(added(pairs, counts))))
 
@@ -432,44 +474,50 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
         np.maximum.at(best, sides, counts)
         known.append((shared, spark.sparkContext.broadcast(counts)))
     top = spark.sparkContext.broadcast(best)
-    digest = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     if len(turns) > 1:
         rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "alignment-rows")
-    found = [add_columns(rows, ["text"], digest, looked_up(paths, shared, counts, top, first=not turn),
-                         keep=[c for c in rows.columns if c != "text"])
-             for turn, (shared, counts) in enumerate(known)]
-    names = [f.name for f in T.StructType.fromDDL(digest)]
+    found = [looked_up(rows, paths, shared, counts, top, first=not turn) for turn, (shared, counts) in enumerate(known)]
+    whole = found[0]
     if len(turns) > 1:
-        whole = found[0]
         for other in found[1:]:
             whole = whole.unionByName(other)
-        same = [n for n in names if n not in ("n_best", "count_sum")]
-        return whole.groupBy("row").agg(
-            F.max("id").alias(id_col), *[F.max(n).alias(n) for n in same[:-1]], F.sum("n_best").alias("n_best"),
-            F.sum("count_sum").alias("count_sum"), F.max(same[-1]).alias(same[-1])).drop("row")
-    return found[0].select(F.col("id").alias(id_col), *names)
+        whole = whole.groupBy("row").agg(
+            *[F.max(n).alias(n) for n in ("id", *COLUMNS[:4])], *[F.sum(n).alias(n) for n in COLUMNS[4:6]],
+            F.max(COLUMNS[6]).alias(COLUMNS[6]))
+    return whole.select(F.col("id").alias(id_col), *COLUMNS)
 
 
 def piece_count(piece_path: str) -> int:
     return SentencePieceProcessor(model_file=piece_path).get_piece_size()
 
 
-def looked_up(paths: tuple[str, str], shared, counts, top, first: bool) -> Callable[[], Callable[[list], list]]:
-    """The work of the second pass: a slice of texts to its columns. Digests are made in the first round only."""
-    def make() -> Callable[[list], list]:
-        made = encoders(*paths)
+COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
-        def work(texts: list[str | None]) -> list:
-            aligned = Aligned(made, texts)
+
+def looked_up(rows: DataFrame, paths: tuple[str, str], shared, counts, top, first: bool) -> DataFrame:
+    """The second pass: ``rows`` with their columns but ``text``, and ``COLUMNS``. Digests are made in the first
+    round only."""
+    kept, at = [c for c in rows.columns if c != "text"], rows.columns.index("text")
+    schema = T.StructType([*(rows.schema[c] for c in kept), *(T.StructField(c, T.LongType()) for c in COLUMNS[:6]),
+                           T.StructField(COLUMNS[6], T.StringType())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoders(*paths)
+        for part in gathered(batches, at, SLICE_BYTES):
+            aligned = Aligned(made, part.column("text"))
             numbers = shared.value.numbers(aligned.links)
-            n = np.where(numbers >= 0, counts.value[numbers], 0) if len(counts.value) else np.zeros(len(numbers), np.int64)
-            best = (numbers >= 0) & (n == top.value[aligned.links % made.size])
+            here = numbers >= 0
+            n = np.zeros(len(numbers), np.int64)
+            n[here] = counts.value[numbers[here]]
+            best = here & (n == top.value[aligned.links % made.size])
             n_best, count_sum = (steps(np.concatenate([[0], np.cumsum(x)])[aligned.link_ends]) for x in (best, n))
             table = np.column_stack([aligned.n_a, aligned.n_b, aligned.n_groups, aligned.n_links, n_best, count_sum])
-            sums = [table[r].sum(axis=0).tolist() for r in aligned.rows]
+            sums = np.array([table[r].sum(axis=0) for r in aligned.rows], np.int64).reshape(-1, 6)
             written = aligned.written() if first else []
-            digests = [hashlib.sha256(b"".join([written[i] for i in r.tolist()])[:-1]).hexdigest() if first and len(r) else ""
-                       for r in aligned.rows]
-            return [*map(list, zip(*sums)), digests] if sums else [[] for _ in range(7)]
-        return work
-    return make
+            digests = [hashlib.sha256(b"".join(map(written.__getitem__, r.tolist()))[:-1]).hexdigest()
+                       if first and len(r) else "" for r in aligned.rows]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in kept), *(pa.array(x) for x in sums.T), pa.array(digests, pa.string())],
+                names=[*kept, *COLUMNS])
+
+    return rows.mapInArrow(look, schema)
