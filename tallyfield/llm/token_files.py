@@ -12,7 +12,9 @@ entry per level. Segments close at ``SEGMENT_TOKENS`` ids, so a reader holds one
 longer document, at a time.
 
 Documents are ordered by (id, hash of text), NULL ids first. Rows that repeat an id are kept, side
-by side; a NULL or empty text is the end id alone.
+by side; a NULL or empty text is the end id alone, an empty table no segment at all. Very long texts
+are segments of their own. Only the two named columns are read, so others may have any name. A
+special token's string becomes its id where it stands exactly so, in its own letter case.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,25 +35,27 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tallyfield.llm.tables import held, row_slices
+from tallyfield.llm.tables import gathered, held, trim
 
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
-# Distinct words, and parts of words, that a worker remembers. This bounds its memory; the result
-# is the same for any number.
-WORDS_KEPT = 200_000
-PARTS_KEPT = 700_000
+# Distinct words and parts of words that a worker remembers, and bytes of texts that it encodes at
+# once. They bound its memory; the result is the same for any numbers.
+PARTS_KEPT = 500_000
+SLICE_BYTES = 4_000_000
 
 # The normaliser and pre-tokeniser under which words can be encoded apart.
 WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
     {"type": "Lowercase"}]}
 WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-# The same split for words made of printable ASCII and composed Latin-1 letters only.
+# The same split for words made of printable ASCII and composed Latin-1 letters only, and the most
+# frequent of them: letters, then points and commas.
 PLAIN_WORD = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 PLAIN_SPLIT = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+PLAINEST = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]*\z"
 
 
 def encode_levels(ids: np.ndarray) -> list[tuple[bytes, bytes, bytes]]:
@@ -114,20 +120,13 @@ class Codes:
         return out
 
 
-def lowered(text: str) -> str:
-    """The text in lower case if every rule of letter case agrees on it, else as it is."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
-
-
 class Encoder:
-    """Texts to ids (little-endian unsigned 32-bit), as the tokenizer gives them for whole texts.
+    """Texts to ids, as the tokenizer gives them for whole texts.
 
-    Where the tokenizer's own normaliser and split never join what white space parts, words are
-    encoded once and remembered; for any other tokenizer every text is encoded as a whole.
+    Where the tokenizer's own normaliser and split never join what white space parts, the distinct
+    words of a slice of texts are found, cut into parts, and every part is encoded once and
+    remembered; a text's ids are gathered by the numbers of its parts. For any other tokenizer every
+    text is encoded as a whole.
     """
 
     def __init__(self, path: str, parts_kept: int = PARTS_KEPT):
@@ -145,42 +144,95 @@ class Encoder:
         self.units = Tokenizer.from_file(path)
         self.units.normalizer = None
         self.units.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        # A part stands for itself, a word that is encoded as a whole for itself behind a space.
+        self.known: dict[str, int] = {"": 0}
+        self.ids, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._whole(self.tokenizer, texts)
-        split = [lowered(t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.words) > WORDS_KEPT:
-            self.words = {"": b""}
-        known = self.words
-        self._learn(set().union(*split).difference(known))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        ids, counts = self.encode(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts).tolist()
+        return [ids[s:e].astype("<u4").tobytes() for s, e in zip([0, *ends], ends)]
 
-    @staticmethod
-    def _whole(tokenizer: Tokenizer, texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, words: set[str]) -> None:
-        plain, other = {}, []
-        for word in words:
-            stem = word.rstrip(".,")
-            if stem.isascii() and stem.isalpha():  # the most frequent case, without the patterns
-                stem_only = stem.lower()
-                plain[word] = [stem_only] if len(stem) == len(word) else [stem_only, word[len(stem):]]
-            elif PLAIN_WORD.fullmatch(word) and not any(s in word for s in self.special):
-                plain[word] = PLAIN_SPLIT.findall(word.lower())
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of every text); NULL is the empty text."""
+        if not self.by_word:
+            return whole(self.tokenizer, pc.fill_null(texts, "").to_pylist())
+        if len(self.known) > self.parts_kept:
+            self.forget()
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        n_words = pc.fill_null(pc.list_value_length(split), 0).to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        parts, n_parts = self.numbered(coded.dictionary)
+        # The parts of every word in turn, then the ids of every part.
+        parts, n = ragged(parts, n_parts, coded.indices.to_numpy().astype(np.int64))
+        n_text = sums(n, n_words)
+        ids, sizes = np.concatenate(self.ids), np.concatenate(self.sizes)
+        self.ids, self.sizes = [ids], [sizes]
+        found, n = ragged(ids, sizes, parts)
+        return found, sums(n, n_text)
+
+    def numbered(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the parts of all words one after another, how many each word has)."""
+        plainest = pc.match_substring_regex(words, PLAINEST)
+        simple = pc.utf8_lower(words.filter(plainest))
+        stems = pc.utf8_rtrim(simple, ".,").dictionary_encode()
+        ends = pc.utf8_ltrim(pc.replace_substring_regex(simple, r"^[^.,]+", ""), " ").dictionary_encode()
+        others: list[list[str]] = []
+        new_words = []
+        for word in words.filter(pc.invert(plainest)).to_pylist():
+            if PLAIN_WORD.fullmatch(word) and not any(s in word for s in self.special):
+                others.append(PLAIN_SPLIT.findall(word.lower()))
             else:
-                other.append(word)
-        if len(self.parts) > self.parts_kept:
-            self.parts = {}
-        new = list({p for parts in plain.values() for p in parts}.difference(self.parts))
-        self.parts.update(zip(new, self._whole(self.units, new), strict=True))
-        for word, parts in plain.items():
-            self.words[word] = b"".join(map(self.parts.__getitem__, parts))
-        self.words.update(zip(other, self._whole(self.tokenizer, other), strict=True))
+                others.append([" " + word])
+                new_words.append(word)
+        stem_names, end_names = stems.dictionary.to_pylist(), ends.dictionary.to_pylist()
+        flat = list(chain.from_iterable(others))
+        self.learn(self.units, [p for p in {*stem_names, *end_names, *flat}.difference(self.known) if p[0] != " "], "")
+        self.learn(self.tokenizer, [w for w in dict.fromkeys(new_words) if " " + w not in self.known], " ")
+        number = self.known.__getitem__
+        of_stems, of_ends, of_others = (np.fromiter(map(number, x), np.int64, len(x)) for x in (stem_names, end_names, flat))
+        n_parts = np.empty(len(words), np.int64)
+        is_simple = plainest.to_numpy(zero_copy_only=False)
+        # A simple word has its stem and what ends it, which is empty for most.
+        n_parts[is_simple] = 2
+        n_parts[~is_simple] = list(map(len, others))
+        at = np.cumsum(n_parts) - n_parts
+        out = np.empty(int(n_parts.sum()), np.int64)
+        out[at[is_simple]] = of_stems[stems.indices.to_numpy()]
+        out[at[is_simple] + 1] = of_ends[ends.indices.to_numpy()]
+        out[np.repeat(~is_simple, n_parts)] = of_others
+        return out, n_parts
+
+    def learn(self, tokenizer: Tokenizer, new: list[str], sign: str) -> None:
+        ids, counts = whole(tokenizer, new)
+        self.known.update(zip((sign + w for w in new), range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.ids.append(ids)
+        self.sizes.append(counts)
+
+
+def whole(tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids one after another, ids per text) of texts that are encoded as they are."""
+    found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+
+def ragged(values: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values of the chosen rows one after another, their number per row); ``sizes`` cuts ``values`` into rows."""
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[rows]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts[rows] - (ends - n), n) + np.arange(total)], n
+
+
+def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    return np.diff(upto[np.cumsum(sizes)], prepend=0)
 
 
 def encoder(path: str, parts_kept: int = PARTS_KEPT) -> Encoder:
@@ -207,33 +259,38 @@ def write_tokens(
         T.StructField("more", T.ArrayType(T.BinaryType())),
         T.StructField("ranks", T.ArrayType(T.BinaryType()))])
     arrow = to_arrow_schema(schema)
-    end = np.asarray([end_id], "<u4").tobytes()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, encode = TaskContext.get().partitionId(), encoder(tokenizer, parts_kept)
         seq = first = size = 0
         ids: list[object] = []
-        codes: list[bytes] = []
+        codes: list[np.ndarray] = []
 
         def close() -> pa.RecordBatch:
-            ends = np.cumsum([len(c) // 4 for c in codes]).tolist()
-            levels = encode_levels(np.frombuffer(b"".join(codes), "<u4"))
+            ends = np.cumsum(list(map(len, codes))).tolist()
+            levels = encode_levels(np.concatenate(codes))
             row = [[shard], [seq], [first], [ids], [ends], *([list(x)] for x in zip(*levels, strict=True))]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, type=f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
-        for batch in batches:
-            for part in row_slices(batch, 1):
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, code in zip(part.column(0).to_pylist(), encode(texts), strict=True):
-                    ids.append(doc)
-                    codes.append(code + end)
-                    size += len(code) // 4 + 1
-                    if size >= SEGMENT_TOKENS:
-                        yield close()
-                        seq, first, size, ids, codes = seq + 1, first + size, 0, [], []
+        for part in gathered(batches, 1, SLICE_BYTES):
+            found, counts = encode.encode(part.column(1))
+            upto = np.cumsum(counts + 1)
+            text = np.full(int(upto[-1]) if len(upto) else 0, end_id, np.uint32)
+            inside = np.ones(len(text), bool)
+            inside[upto - 1] = False
+            text[inside] = found
+            for doc, start, stop in zip(part.column(0).to_pylist(), (upto - counts - 1).tolist(), upto.tolist(), strict=True):
+                ids.append(doc)
+                codes.append(text[start:stop])
+                size += stop - start
+                if size >= SEGMENT_TOKENS:
+                    yield close()
+                    seq, first, size, ids, codes = seq + 1, first + size, 0, [], []
         if ids:
             yield close()
+        ids, codes = [], []
+        trim()
 
     keys = [F.col("doc").asc_nulls_first(), F.xxhash64("text")]
     ordered = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")) \

@@ -48,6 +48,26 @@ def test_words_encode_as_whole_texts(text):
     assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+SPECIALS = st.lists(st.sampled_from([
+    "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|StartOfText|>", "<|endoftext", "|>", "It's", "DON'T", "ÉÀß", "Ünder.,", "x,.",
+    " ", "\n", "\r", "\x0b", "\x85", "\u2003", "İ", "Σ", "é", "12a", "…", ",", "."]), max_size=14).map("".join)
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(SPECIALS, max_size=4))
+def test_special_tokens_count_in_their_own_case(texts):
+    found = token_files.encoder(PATH)(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == \
+        [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_forgetting_changes_nothing():
+    texts = ["one two, three.", "Two ONE four's", "one <|endoftext|> 5"] * 3
+    few = token_files.Encoder(PATH, parts_kept=1)
+    for text in texts:
+        assert few([text]) == token_files.encoder(PATH)([text])
+
+
 def test_edge_rows(spark, tmp_path):
     docs = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
     folder = str(tmp_path / "tokens")
