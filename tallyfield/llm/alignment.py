@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from tallyfield.llm.tables import gathered, held, stored
+from tallyfield.llm.tables import gathered, held, stored, strings
 
 # Pairs whose functions and counts are broadcast at once: some 14 bytes each.
 MOST_PAIRS = 8_000_000
@@ -288,7 +288,7 @@ class Aligned:
         for i, parts in own.items():
             self.rows[i] = numbers[at:at + len(parts)]
             at += len(parts)
-        names = units.to_pylist()
+        names = strings(units)
         sizes = pc.binary_length(units).to_numpy().astype(np.int64) + 1
         whole = np.frombuffer((" " + " ".join(names)).encode() if names else b"", np.uint8)
         self.a = made.ids_a(names, len(names) - int(alone.sum()))

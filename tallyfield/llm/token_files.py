@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tallyfield.llm.tables import gathered, held, trim
+from tallyfield.llm.tables import gathered, held, strings, trim
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -44,6 +44,8 @@ SEGMENT_TOKENS = 1 << 20
 # once. They bound its memory; the result is the same for any numbers.
 PARTS_KEPT = 500_000
 SLICE_BYTES = 4_000_000
+# Parts that are encoded in one call of the library.
+LINE_PARTS = 50
 
 # The normaliser and pre-tokeniser under which words can be encoded apart.
 WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
@@ -51,11 +53,12 @@ WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "Lowercase"}]}
 WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # The same split for words made of printable ASCII and composed Latin-1 letters only, and the most
-# frequent of them: letters, then points and commas.
+# frequent of them: letters, then ASCII signs but no apostrophe.
 PLAIN_WORD = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 PLAIN_SPLIT = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-PLAINEST = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]*\z"
+SIGNS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+PLAINEST = rf"\A[A-Za-zÀ-ÖØ-öø-ÿ]+[{re.escape(SIGNS)}]*\z"
 
 
 def encode_levels(ids: np.ndarray) -> list[tuple[bytes, bytes, bytes]]:
@@ -143,12 +146,21 @@ class Encoder:
         self.special = [t["content"] for t in config["added_tokens"]]
         self.units = Tokenizer.from_file(path)
         self.units.normalizer = None
-        self.units.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.units.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        end = config["model"]["end_of_word_suffix"] or "\0"
+        self.ends_word = np.array([(self.units.id_to_token(i) or "").endswith(end) for i in range(self.units.get_vocab_size())])
+        self.by_word &= set(config["model"]["vocab"]).issuperset(
+            letter + end for letter in pre_tokenizers.ByteLevel.alphabet())
+        # Numbers of the parts; a word that is encoded as a whole stands behind a space.
+        self.known: dict[str, int] = {}
+        self.ids, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         self.forget()
 
     def forget(self) -> None:
-        # A part stands for itself, a word that is encoded as a whole for itself behind a space.
-        self.known: dict[str, int] = {"": 0}
+        """Start anew; what was known until now can still be taken over, what was known before is gone."""
+        self.before = self.known, np.concatenate(self.ids), np.concatenate(self.sizes)
+        self.known = {"": 0}
         self.ids, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -160,7 +172,7 @@ class Encoder:
         """(ids of all texts one after another, number of ids of every text); NULL is the empty text."""
         if not self.by_word:
             return whole(self.tokenizer, pc.fill_null(texts, "").to_pylist())
-        if len(self.known) > self.parts_kept:
+        if len(self.known) > self.parts_kept // 2:
             self.forget()
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         n_words = pc.fill_null(pc.list_value_length(split), 0).to_numpy().astype(np.int64)
@@ -178,23 +190,25 @@ class Encoder:
         """(numbers of the parts of all words one after another, how many each word has)."""
         plainest = pc.match_substring_regex(words, PLAINEST)
         simple = pc.utf8_lower(words.filter(plainest))
-        stems = pc.utf8_rtrim(simple, ".,").dictionary_encode()
-        ends = pc.utf8_ltrim(pc.replace_substring_regex(simple, r"^[^.,]+", ""), " ").dictionary_encode()
+        stems = pc.utf8_rtrim(simple, SIGNS).dictionary_encode()
+        ends = pc.replace_substring_regex(simple, r"\A[a-zß-öø-ÿ]+", "").dictionary_encode()
         others: list[list[str]] = []
-        new_words = []
-        for word in words.filter(pc.invert(plainest)).to_pylist():
+        for word in strings(words.filter(pc.invert(plainest))):
             if PLAIN_WORD.fullmatch(word) and not any(s in word for s in self.special):
                 others.append(PLAIN_SPLIT.findall(word.lower()))
             else:
                 others.append([" " + word])
-                new_words.append(word)
-        stem_names, end_names = stems.dictionary.to_pylist(), ends.dictionary.to_pylist()
+        stem_names, end_names = strings(stems.dictionary), strings(ends.dictionary)
         flat = list(chain.from_iterable(others))
-        self.learn(self.units, [p for p in {*stem_names, *end_names, *flat}.difference(self.known) if p[0] != " "], "")
-        self.learn(self.tokenizer, [w for w in dict.fromkeys(new_words) if " " + w not in self.known], " ")
+        known = self.known
+        new = self.taken_over([p for p in dict.fromkeys(chain(stem_names, end_names, flat)) if p not in known])
+        words = [p for p in new if p.startswith(" ")]
+        parts = [p for p in new if not p.startswith(" ")] if words else new
+        self.learn(parts, *self.apart(parts))
+        self.learn(words, *whole(self.tokenizer, [w[1:] for w in words]))
         number = self.known.__getitem__
         of_stems, of_ends, of_others = (np.fromiter(map(number, x), np.int64, len(x)) for x in (stem_names, end_names, flat))
-        n_parts = np.empty(len(words), np.int64)
+        n_parts = np.empty(len(plainest), np.int64)
         is_simple = plainest.to_numpy(zero_copy_only=False)
         # A simple word has its stem and what ends it, which is empty for most.
         n_parts[is_simple] = 2
@@ -206,11 +220,25 @@ class Encoder:
         out[np.repeat(~is_simple, n_parts)] = of_others
         return out, n_parts
 
-    def learn(self, tokenizer: Tokenizer, new: list[str], sign: str) -> None:
-        ids, counts = whole(tokenizer, new)
-        self.known.update(zip((sign + w for w in new), range(len(self.known), len(self.known) + len(new)), strict=True))
+    def apart(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, ids per part). Parts go to the library by the line; each ends with the only
+        id of its that ends a word."""
+        lines = [" ".join(parts[i:i + LINE_PARTS]) for i in range(0, len(parts), LINE_PARTS)]
+        ids, _ = whole(self.units, lines)
+        return ids, np.diff(np.flatnonzero(self.ends_word[ids]) + 1, prepend=0)
+
+    def taken_over(self, parts: list[str]) -> list[str]:
+        """The parts that nothing is known of; those known before the last ``forget`` are known again."""
+        known, ids, sizes = self.before
+        again = [p for p in parts if p in known]
+        if again:
+            self.learn(again, *ragged(ids, sizes, np.fromiter(map(known.__getitem__, again), np.int64, len(again))))
+        return [p for p in parts if p not in known]
+
+    def learn(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
         self.ids.append(ids)
-        self.sizes.append(counts)
+        self.sizes.append(sizes)
 
 
 def whole(tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
