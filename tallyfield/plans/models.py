@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyfield.functions import dense_form, majority, sparse_form
-from tallyfield.operators import metrics, models
+from tallyfield.operators import metrics, models, searches
 from tallyfield.operators.features import feature_stages, fit_features, index_map, slots
 from tallyfield.operators.joins import match
 from tallyfield.operators.sampling import hash_bucket, keyed_split
@@ -113,10 +113,6 @@ LABEL = "label"
 ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 NUMERIC = ["l_quantity", "l_discount", "l_tax"]
 CATEGORICAL = ["l_returnflag", "l_linestatus"]
-# A search fits each setting on about so many training rows of a fold, picked by a hash of the row key:
-# 475 fits over all rows would tell no more about a grid. Everything else, the validation and the
-# fit of the best setting too, uses all rows.
-SEARCH_ROWS = 8_000
 
 
 def planted_rows(spark, sf):
@@ -142,29 +138,27 @@ def prepared(spark, sf):
 
 
 def lr_search(rows):
-    search = models.logistic_search(LABEL, "features_lr", reg=models.MULTI_REG)
-    return models.cross_validate(rows, search, LABEL, ROW_KEY, parallelism=8, fit_rows=SEARCH_ROWS)
+    return searches.logistic_path(rows, LABEL, "features_lr", ROW_KEY, models.MULTI_REG, models.ELASTIC_NET)
 
 
 def dt_search(rows):
-    search = models.tree_search(
-        LABEL, "features_dt", models.MULTI_DEPTH, models.MULTI_MIN_INSTANCES, maxBins=models.MULTI_MAX_BINS)
-    return models.cross_validate(rows, search, LABEL, ROW_KEY, parallelism=8, fit_rows=SEARCH_ROWS)
+    return searches.tree_grid(
+        rows, LABEL, "features_dt", ROW_KEY, models.MULTI_DEPTH, models.MULTI_MIN_INSTANCES, maxBins=models.MULTI_MAX_BINS)
 
 
 def lr_cv_summary(spark, sf):
     train, _ = prepared(spark, sf)
-    return models.cv_summary(spark, lr_search(train))
+    return searches.search_summary(spark, lr_search(train))
 
 
 def dt_cv_summary(spark, sf):
     train, _ = prepared(spark, sf)
-    return models.cv_summary(spark, dt_search(train))
+    return searches.search_summary(spark, dt_search(train))
 
 
 def cv_best(spark, sf):
     train, _ = prepared(spark, sf)
-    return models.cv_best(spark, dt_search(train))
+    return searches.best_setting(spark, dt_search(train))
 
 
 def fitted_tree(train):
@@ -192,11 +186,11 @@ def tree_leaf_scores(spark, sf):
 def model_selection(spark, sf):
     """Search both model families, then judge the better one on the held-out rows."""
     train, held_out = prepared(spark, sf)
-    searches = {"logistic": lr_search(train), "tree": dt_search(train)}
-    winner = models.choose_model(searches)
-    scored = models.score(searches[winner].bestModel, held_out, [LABEL])
+    found = {"logistic": lr_search(train), "tree": dt_search(train)}
+    winner = searches.choose_search(found)
+    scored = models.score(found[winner].best_model(), held_out, [LABEL])
     return metrics.accuracy(scored, LABEL, "prediction").select(
-        F.lit(winner).alias("model"), F.lit(float(max(searches[winner].avgMetrics))).alias("cv_accuracy"),
+        F.lit(winner).alias("model"), F.lit(max(found[winner].accuracies)).alias("cv_accuracy"),
         "n", "accuracy")
 
 
