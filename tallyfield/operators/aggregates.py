@@ -1,19 +1,24 @@
 """Grouped and global aggregates.
 
-All of them are built-in aggregate functions, so rows are combined on the map side and only one
+All but two of them are built-in aggregate functions, so rows are combined on the map side and only one
 partial row per key and task is shuffled. A key that holds a large part of all rows costs no more
-than any other key.
+than any other key. ``numeric_summary`` and ``fit_quality`` run at once, finish on the driver and
+return one row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions.bins import Bins, bin_label
-from tallyfield.functions.rounding import exact_sum, ratio, round_stable
+from tallyfield.functions.rounding import ratio, round_stable
+from tallyfield.operators.moments import exact_totals, size_range, squares_around
+from tallyfield.sources.generators import local_rows
 
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
@@ -34,39 +39,58 @@ def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def numeric_summary(df: DataFrame, column: str | Column, scale: int = 6) -> DataFrame:
-    """Sum, mean, population standard deviation, minimum and maximum in one pass.
+def numeric_summary(df: DataFrame, column: str | Column) -> DataFrame:
+    """Sum, mean, population standard deviation, minimum and maximum as one row.
 
-    Values and squares are added exactly at ``scale`` decimals, so no result depends on how the
-    rows are partitioned.
+    Three passes over one column: its range, its exact sum, its exact squares around the mean. The
+    results are those of exact arithmetic on the values, rounded once, under every partitioning. NaN
+    makes sum, mean and deviation NaN, an infinity makes the sum infinite and the deviation NaN; in
+    minimum and maximum NaN counts as the largest value. Without values all are NULL.
     """
-    x = F.col(column) if isinstance(column, str) else column
-    sums = df.agg(
-        F.count(x).alias("n"), exact_sum(x, scale).alias("total"), exact_sum(x * x, scale).alias("squares"),
-        F.min(x).alias("minimum"), F.max(x).alias("maximum"))
-    mean = F.try_divide("total", "n")
-    spread = F.try_divide(F.col("squares") - F.col("total") * mean, F.col("n"))
-    return sums.select(
-        "total", mean.alias("mean"), F.sqrt(F.greatest(spread, F.lit(0.0))).alias("stdev"), "minimum", "maximum")
+    x = (F.col(column) if isinstance(column, str) else column).cast("double")
+    rows = df.select(x.alias("x"))
+    x = F.col("x")
+    ends = rows.agg(F.min(x).alias("low"), F.max(x).alias("high"), *size_range(x, "x")).first()
+    total = exact_totals(rows, {"x": x}, {"x": (ends["x most"] or 0.0, ends["x least"] or 1.0)})["x"]
+    spread = None
+    if total.n:
+        spread = math.nan
+        if math.isfinite(total.mean):
+            most = max(abs(ends.low - total.mean), abs(ends.high - total.mean))
+            squares = squares_around(rows, {"x": (x, total.mean)}, {"x": most})["x"]
+            # The mean is a rounded one: what it is off by counts in every square.
+            off = total.exact / total.n - Fraction(total.mean)
+            spread = math.inf if squares is None else math.sqrt(max(squares / total.n - off * off, 0))
+    return local_rows(df.sparkSession, [(total.value, total.mean, spread, ends.low, ends.high)],
+                      "total DOUBLE, mean DOUBLE, stdev DOUBLE, minimum DOUBLE, maximum DOUBLE")
 
 
 def fit_quality(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """(n, mean_actual, sse, sst, r2) of predictions in one pass.
+    """(n, mean_actual, sse, sst, r2) of predictions as one row; pairs with a NULL side do not count.
 
-    The spread around the mean comes from the one-pass variance, so the mean need not be known
-    before the pass.
+    Errors are squared once and added exactly; the spread is taken around the exact mean. So the
+    results are the same under every partitioning. A non-finite value makes what it enters NaN.
     """
+    rows = df.select(F.col(actual).cast("double").alias("a"), F.col(predicted).cast("double").alias("p"))
     # Incomplete pairs drop out inside the aggregates. A filter would be pushed below the columns
     # that feed it and compute parsed values twice.
-    error = F.col(actual) - F.col(predicted)
-    paired = F.when(F.col(predicted).isNotNull(), F.col(actual))
-    sums = df.agg(
-        F.count(error).alias("n"),
-        F.avg(paired).alias("mean_actual"),
-        F.sum(F.pow(error, F.lit(2))).alias("sse"),
-        (F.var_pop(paired) * F.count(error)).alias("sst"),
-    )
-    return sums.withColumn("r2", F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst")))
+    paired = F.when(F.col("p").isNotNull(), F.col("a"))
+    error = F.col("a") - F.col("p")
+    ends = rows.agg(*size_range(paired, "a"), *size_range(error * error, "e"), F.min(paired).alias("low"),
+                    F.max(paired).alias("high")).first()
+    totals = exact_totals(rows, {"a": paired, "e": error * error},
+                          {name: (ends[f"{name} most"] or 0.0, ends[f"{name} least"] or 1.0) for name in "ae"})
+    n, mean = totals["a"].n, totals["a"].mean
+    sse, sst = totals["e"].value, None
+    if n:
+        sst = math.nan
+        if math.isfinite(mean):
+            most = max(abs(ends.low - mean), abs(ends.high - mean))
+            squares = squares_around(rows, {"a": (paired, mean)}, {"a": most})["a"]
+            sst = math.nan if squares is None else float(squares)
+    r2 = 1.0 - sse / sst if sst else None
+    return local_rows(df.sparkSession, [(n, mean, sse, sst, r2)],
+                      "n BIGINT, mean_actual DOUBLE, sse DOUBLE, sst DOUBLE, r2 DOUBLE")
 
 
 def substring_counts(df: DataFrame, column: str, needles: Mapping[str, str]) -> DataFrame:

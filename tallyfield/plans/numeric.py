@@ -35,10 +35,10 @@ def pair_parse_r2(spark, sf):
         F.concat_ws(" ", F.col("l_extendedprice").cast("string"),
                     (F.col("l_quantity") * 1500).cast("string")).alias("line"))
     pairs = parse_numbers(lines, ["actual", "predicted"])
-    # Squared prices add up to about 1e13 and more, where a double holds no small decimals.
+    # Squared prices add up to 1e13 and more, where a double's last digit is near the cents.
     return fit_quality(pairs, "actual", "predicted").select(
-        "n", F.round("mean_actual", 4).alias("mean_actual"), F.round("sse", -6).alias("sse"),
-        F.round("sst", -6).alias("sst"), F.round("r2", 6).alias("r2"))
+        "n", F.round("mean_actual", 4).alias("mean_actual"), F.round("sse", 0).alias("sse"),
+        F.round("sst", 0).alias("sst"), F.round("r2", 12).alias("r2"))
 
 
 def line_parse_grouped_mean(spark, sf):
@@ -73,12 +73,13 @@ QUERIES = {
 
 
 def _summary_sql(x: str) -> str:
+    # Compensated sums; the spread around a mean that is known first.
     return f"""
-        SELECT round(sum(CAST({x} AS DECIMAL(38,6)))::DOUBLE, 4) AS total,
-               round(sum(CAST({x} AS DECIMAL(38,6)))::DOUBLE / count({x}), 4) AS mean,
-               round(stddev_pop({x}), 4) AS stdev, round(min({x}), 4) AS minimum,
-               round(max({x}), 4) AS maximum
-        FROM lineitem"""
+        WITH v AS (SELECT {x} AS x FROM lineitem), m AS (SELECT fsum(x) / count(x) AS mean FROM v)
+        SELECT round(fsum(x), 4) AS total, round(any_value(mean), 4) AS mean,
+               round(sqrt(fsum((x - mean) * (x - mean)) / count(x)), 4) AS stdev,
+               round(min(x), 4) AS minimum, round(max(x), 4) AS maximum
+        FROM v, m"""
 
 
 ORACLE = {
@@ -86,12 +87,11 @@ ORACLE = {
     "scaled_stats": _summary_sql("l_extendedprice * 10"),
     "log_transform_stats": _summary_sql("ln(l_extendedprice * 10)"),
     "pair_parse_r2": """
-        WITH m AS (SELECT avg(l_extendedprice) AS mean_actual FROM lineitem),
-        s AS (SELECT count(*) AS n, sum(pow(l_extendedprice - 1500 * l_quantity, 2)) AS sse,
-                     sum(pow(l_extendedprice - mean_actual, 2)) AS sst
-              FROM lineitem, m)
-        SELECT n, round(mean_actual, 4) AS mean_actual, round(sse, -6) AS sse,
-               round(sst, -6) AS sst, round(1 - sse / sst, 6) AS r2
+        WITH m AS (SELECT fsum(l_extendedprice) / count(*) AS mean_actual FROM lineitem),
+        e AS (SELECT l_extendedprice - 1500 * l_quantity AS e, l_extendedprice - mean_actual AS d FROM lineitem, m),
+        s AS (SELECT count(*) AS n, fsum(e * e) AS sse, fsum(d * d) AS sst FROM e)
+        SELECT n, round(mean_actual, 4) AS mean_actual, round(sse, 0) AS sse,
+               round(sst, 0) AS sst, round(1 - sse / sst, 12) AS r2
         FROM s, m""",
     "line_parse_grouped_mean": """
         SELECT p_type, count(*) AS n, round(avg(p_size) + 1e-9, 2) AS mean_size,
