@@ -12,7 +12,9 @@ matches and of the text between them, which ``split`` and ``regexp_extract_all``
 over a blob's matches turn them into positions (code points, end exclusive).
 
 Cases. A NULL text is an empty one. Repeated rows and NULL paths are kept. A blob that thousands of
-paths share is scanned once. An absent or empty ledger means that nothing was scanned yet.
+paths share is scanned once. An absent or empty ledger means that nothing was scanned yet; a pair that
+stands in it twice counts once. Texts of any length are scanned whole; no documents give no rows. Only
+the two named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -113,8 +115,12 @@ def findings(paths: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES) ->
     order = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.version), F.lit(i))))
     ledger = ledger_table(paths.sparkSession, folder).filter(F.col("rule").isin([r.version for r in rules])) \
         .filter(F.size("spans") > 0)
-    found = ledger.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list(F.transform("spans", lambda s: F.struct(
-        s.start.alias("start"), order[F.col("rule")].alias("place"), s.end.alias("end"), s.kind.alias("kind")))))).alias("spans"))
+    # A pair may stand in the ledger twice, after two scans at once or one that was repeated.
+    found = ledger.groupBy("blob").agg(F.array_distinct(F.array_sort(F.flatten(F.collect_list(F.transform(
+        "spans", lambda s: F.struct(s.start.alias("start"), order[F.col("rule")].alias("place"), s.end.alias("end"),
+                                    s.kind.alias("kind"))))))).alias("spans"))
+    # Written and read again, so that a blob of very many paths can be split in the join.
+    found = stored(found, "secret-findings")
     return paths.join(found, "blob", "left").withColumn(
         "spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
 

@@ -71,6 +71,15 @@ def test_ledger_scans_only_unseen_pairs(spark, docs, tmp_path):
     assert again.filter(again.rule != rule.version).count() == ledger.count()
 
 
+def test_pairs_that_stand_in_the_ledger_twice_count_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "password = hunter2hunter2 and token: abcdefabcdef12"), (2, None)], "doc_id long, text string")
+    folder = str(tmp_path / "ledger")
+    once = sorted(map(tuple, se.report(se.scan(docs, folder)).collect()))
+    spark.read.parquet(folder).write.mode("append").parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.mode("append").parquet(folder)
+    assert sorted(map(tuple, se.report(se.scan(docs, folder)).collect())) == once
+
+
 def test_versions_name_the_definition():
     assert len({r.version for r in se.RULES}) == len(se.RULES)
     assert se.Rule("a", "x", "y").version == se.Rule("a", "x", "z").version != se.Rule("a", "x+", "y").version
