@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.llm.tables import stored
+from tallyfield.llm.tables import stored, thrifty
 
 
 def local_roots(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -64,7 +64,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges is reduced to a spanning forest first. Each round is written to shared storage, so a lost
     executor costs no earlier round.
     """
-    links = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).mapInArrow(forest, "a long, b long").select(
+    links = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).mapInArrow(thrifty(forest), "a long, b long").select(
         F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "components")
     mark = _mark(links)
     while True:

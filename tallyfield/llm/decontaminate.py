@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.llm.tables import add_columns, row_slices, stored
+from tallyfield.llm.tables import add_columns, row_slices, stored, thrifty
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
@@ -57,7 +57,7 @@ def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
                      pa.array([item] * len(found), pa.string())], names=["window", "item"])
 
     return benchmark.select(F.col(id_col).cast("string"), text_col) \
-        .mapInArrow(cut, "window string, item string").distinct()
+        .mapInArrow(thrifty(cut), "window string, item string").distinct()
 
 
 class Windows:
@@ -141,7 +141,7 @@ def shingle_counts(texts: DataFrame, block: Windows) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["k", "n"])
 
     total = np.zeros(len(codes), np.int64)
-    for row in texts.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+    for row in texts.mapInArrow(thrifty(count), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         total[row.k] = row.n
     return total
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfield.llm.tables import fresh, row_slices, stored
+from tallyfield.llm.tables import fresh, row_slices, stored, thrifty
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -176,7 +176,7 @@ def plan(rows: DataFrame, recipe: Recipe) -> tuple[DataFrame, DataFrame]:
                 columns = [np.full(many, s), np.full(many, shard), epoch, taken, words]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=SLOT.names)
 
-    return table, shards.mapInArrow(fill, SLOT)
+    return table, shards.mapInArrow(thrifty(fill), SLOT)
 
 
 def pieces(rows: DataFrame, table: DataFrame, slots: DataFrame, recipe: Recipe) -> DataFrame:
@@ -248,7 +248,7 @@ def mixed(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", te
                     columns[at["n_chars"]] = pa.array([len(t) for t in texts]).cast(columns[at["n_chars"]].type)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return parts.mapInArrow(cut, schema)
+    return parts.mapInArrow(thrifty(cut), schema)
 
 
 def keep(text: str, runs: list[tuple[int, int]]) -> str:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.llm.components import components, local_roots
-from tallyfield.llm.tables import add_columns, fresh, stored
+from tallyfield.llm.tables import add_columns, fresh, stored, thrifty
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -164,7 +164,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values[child]), pa.array(values[after[child]])], names=["a", "b"])
 
-    return within.filter("a <> b").unionAll(work.mapInArrow(between, "a long, b long"))
+    return within.filter("a <> b").unionAll(work.mapInArrow(thrifty(between), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -66,6 +66,15 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` over a partition's batches, with memory given back at the end."""
+    def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return all_of
+
+
 def add_columns(
     df: DataFrame, needs: list[str], added: str, make: Callable[[], Callable[..., list]],
     keep: list[str] | None = None,
@@ -95,9 +104,8 @@ def add_columns(
                     c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                     for c, f in zip(columns, arrow_extra, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=full.names)
-        trim()
 
-    return df.mapInArrow(run, full)
+    return df.mapInArrow(thrifty(run), full)
 
 
 def row_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:

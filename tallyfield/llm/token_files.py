@@ -20,6 +20,7 @@ special token's string becomes its id where it stands exactly so, in its own let
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tallyfield.llm.tables import gathered, held, strings, trim
+from tallyfield.llm.tables import gathered, held, strings, thrifty
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -134,6 +135,8 @@ class Encoder:
 
     def __init__(self, path: str, parts_kept: int = PARTS_KEPT):
         self.parts_kept = parts_kept
+        # Tasks fill the cores; threads of the library's own would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as file:
             config = json.load(file)
@@ -270,11 +273,11 @@ def encoder(path: str, parts_kept: int = PARTS_KEPT) -> Encoder:
 
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
-    id_col: str = "doc_id", text_col: str = "text", parts_kept: int = PARTS_KEPT,
+    id_col: str = "doc_id", text_col: str = "text", parts_kept: int = PARTS_KEPT, slice_bytes: int = SLICE_BYTES,
 ) -> None:
     """Encode every text, append ``end_id``, and write the segments to ``folder``.
 
-    ``parts_kept`` trades a worker's memory for time; the ids are the same.
+    ``parts_kept`` and ``slice_bytes`` trade a worker's memory for time; the ids are the same.
 
     The one shuffle ranges the rows by document, so every task writes one run of documents.
     """
@@ -301,7 +304,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, type=f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
-        for part in gathered(batches, 1, SLICE_BYTES):
+        for part in gathered(batches, 1, slice_bytes):
             found, counts = encode.encode(part.column(1))
             upto = np.cumsum(counts + 1)
             text = np.full(int(upto[-1]) if len(upto) else 0, end_id, np.uint32)
@@ -318,12 +321,11 @@ def write_tokens(
         if ids:
             yield close()
         ids, codes = [], []
-        trim()
 
     keys = [F.col("doc").asc_nulls_first(), F.xxhash64("text")]
     ordered = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")) \
         .repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ordered.mapInArrow(segments, schema).write.parquet(folder)
+    ordered.mapInArrow(thrifty(segments), schema).write.parquet(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
@@ -355,7 +357,7 @@ def read_tokens(spark: SparkSession, folder: str, id_col: str = "doc_id") -> Dat
                     [pa.array(v, type=f.type) for v, f in zip(values, arrow, strict=True)], schema=arrow)
 
     decoded = files.select("shard", "first", "docs", "ends", "chunks", "more", "ranks") \
-        .mapInArrow(documents, schema)
+        .mapInArrow(thrifty(documents), schema)
     last = F.element_at("ends", -1)
     totals = files.select("shard", (F.col("first") + last).alias("upto")) \
         .groupBy("shard").agg(F.max("upto").alias("total"))

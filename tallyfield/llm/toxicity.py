@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.llm.tables import add_columns, held, stored
+from tallyfield.llm.tables import add_columns, held, stored, thrifty
 
 # Word lists in four languages.
 INSULTS = ("idiot", "moron", "scum", "clown", "pathetic", "worthless", "loser", "trash", "stupid", "disgusting",
@@ -286,7 +286,7 @@ def stem_counts(rows: DataFrame, settings: Settings) -> DataFrame:
             pa.array([v[0] for v in seen.values()], pa.int64())], names=["stem", "half", "toxic", "clean"])
 
     return rows.select("text", "toxic", "half").mapInArrow(
-        count, "stem string, half int, toxic long, clean long").groupBy("stem", "half").agg(
+        thrifty(count), "stem string, half int, toxic long, clean long").groupBy("stem", "half").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
