@@ -45,7 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     folder = scratch_dir(spark, "pipeline-tokens")
     # After four other stages the workers have less memory left than in a job of its own.
-    token_files.write_tokens(docs, folder, queries.WORD_TOKENIZER, parts_kept=150_000)
+    token_files.write_tokens(docs, folder, queries.WORD_TOKENIZER, parts_kept=100_000, slice_bytes=1_300_000)
     return token_files.read_tokens(spark, folder)
 
 
