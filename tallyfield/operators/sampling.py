@@ -7,12 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfield.functions.uniform import keyed_uniform
+
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
     """Keep each row with probability ``fraction``, without replacement."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def keyed_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 0) -> DataFrame:
+    """Keep each row key with probability ``fraction``: the same rows under any partitioning and in any engine."""
+    return df.filter(keyed_uniform(keys, seed) < F.lit(float(fraction)))
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Random split by row position: the same seed gives other rows once partitioning changes."""
     return df.randomSplit(list(weights), seed=seed)

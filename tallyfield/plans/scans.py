@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import round_stable
 from tallyfield.operators.aggregates import count_by, grouped_means
 from tallyfield.operators.joins import match
-from tallyfield.operators.sampling import bernoulli_sample, keyed_split
+from tallyfield.operators.sampling import keyed_sample, keyed_split
 from tallyfield.sources import (
     head_rows, load_table, local_rows, partition_sizes, read_delimited, read_delimited_inferred,
     row_counts, scratch_dir, with_uniform, write_delimited,
@@ -15,6 +15,10 @@ from tallyfield.sources import (
 
 COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
            "embeddings", "pages", "benchmark", "labels", "conversations")
+ITEM_KEY = ("l_orderkey", "l_linenumber")
+# The value of ``keyed_uniform`` with seed 1 over that key.
+UNIFORM_SQL = ("CAST('0x' || substr(md5(concat_ws('|', '1', l_orderkey, l_linenumber)), 1, 8) AS BIGINT)::DOUBLE"
+               " / 4294967296::DOUBLE")
 
 
 def _part_file(spark, sf):
@@ -63,21 +67,21 @@ def orders_head(spark, sf):
 
 
 def uniform_sample_stats(spark, sf):
-    """Statistics of one generated value per line item, to one digit: the values themselves
-    depend on the partitioning, their distribution does not."""
-    values = with_uniform(load_table(spark, sf, "lineitem").select("l_orderkey"), seed=1)
-    return values.agg(
+    """Statistics of one generated value per line item; the values follow from its key."""
+    items = load_table(spark, sf, "lineitem").select(*ITEM_KEY)
+    return with_uniform(items, seed=1, keys=ITEM_KEY).agg(
         F.count("x").alias("n"),
-        F.round(F.avg("x"), 1).alias("mean"),
-        F.round(F.stddev_pop("x"), 1).alias("stdev"),
-        F.round(F.min("x"), 1).alias("minimum"),
-        F.round(F.max("x"), 1).alias("maximum"),
+        F.round(F.avg("x"), 6).alias("mean"),
+        F.round(F.stddev_pop("x"), 6).alias("stdev"),
+        F.min("x").alias("minimum"),
+        F.max("x").alias("maximum"),
     )
 
 
 def sample_rows(spark, sf):
-    points = load_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
-    return bernoulli_sample(points, 0.25, seed=1)
+    """About a quarter of the line items, picked by their key."""
+    items = load_table(spark, sf, "lineitem").select(*ITEM_KEY, "l_quantity", "l_extendedprice")
+    return keyed_sample(items, ITEM_KEY, 0.25, seed=1).select("l_quantity", "l_extendedprice")
 
 
 def hash_split_counts(spark, sf):
@@ -115,10 +119,11 @@ ORACLE = {
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in COUNTED),
     "head_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
-    "uniform_sample_stats": """
-        SELECT count(*) AS n, round(avg(x), 1) AS mean, round(stddev_pop(x), 1) AS stdev,
-               round(min(x), 1) AS minimum, round(max(x), 1) AS maximum
-        FROM (SELECT random() AS x FROM lineitem)""",
+    "uniform_sample_stats": f"""
+        SELECT count(*) AS n, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS stdev,
+               min(x) AS minimum, max(x) AS maximum
+        FROM (SELECT {UNIFORM_SQL} AS x FROM lineitem)""",
+    "sample_rows": f"SELECT l_quantity, l_extendedprice FROM lineitem WHERE {UNIFORM_SQL} < 0.25",
     "hash_split_counts": """
         WITH b AS (SELECT CAST('0x' || substr(md5(concat_ws('|', '0', l_orderkey, l_linenumber)), 1, 8) AS BIGINT)
                           % 10000 AS bucket FROM lineitem)

@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tallyfield.functions.uniform import keyed_uniform
+
 
 def uniform_values(spark: SparkSession, n: int, seed: int, name: str = "x") -> DataFrame:
     """``n`` seeded uniform values in [0, 1), generated where they are used."""
     return spark.range(n).select(F.rand(seed).alias(name))
 
 
-def with_uniform(df: DataFrame, seed: int, name: str = "x") -> DataFrame:
-    """Add a seeded uniform column. The values depend on how ``df`` is partitioned."""
-    return df.withColumn(name, F.rand(seed))
+def with_uniform(df: DataFrame, seed: int, name: str = "x", keys: Sequence[str] = ()) -> DataFrame:
+    """Add a seeded uniform column. Without ``keys`` the values depend on how ``df`` is partitioned."""
+    return df.withColumn(name, keyed_uniform(keys, seed) if keys else F.rand(seed))
 
 
 def local_rows(spark: SparkSession, rows: Sequence[Sequence], ddl: str) -> DataFrame:

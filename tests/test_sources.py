@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfield import sources
-from tallyfield.operators.sampling import bernoulli_sample, keyed_split, random_split
+from tallyfield.operators.sampling import bernoulli_sample, keyed_sample, keyed_split, random_split
 from tallyfield.sources.schemas import SCHEMAS, SEPARATORS
 
 
@@ -87,3 +87,16 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert sources.scratch_dir(spark, "x") != sources.scratch_dir(spark, "x")
     with pytest.raises(RuntimeError):
         sources.scratch_dir(Remote, "x")
+
+
+def test_keyed_values_and_samples_do_not_depend_on_partitioning(spark):
+    df = spark.range(4000).selectExpr("id AS k", "if(id % 10 = 0, NULL, id % 7) AS part")
+    one, two = (sources.with_uniform(df.repartition(n), 3, keys=["k", "part"]) for n in (1, 13))
+    values = {r.k: r.x for r in one.collect()}
+    assert values == {r.k: r.x for r in two.collect()}
+    assert 0 <= min(values.values()) and max(values.values()) < 1 and len(set(values.values())) > 3990
+    assert abs(sum(values.values()) / 4000 - 0.5) < 0.03
+    kept = {r.k for r in keyed_sample(df.repartition(5), ["k", "part"], 0.25, seed=3).collect()}
+    assert kept == {k for k, x in values.items() if x < 0.25} and 850 < len(kept) < 1150
+    assert keyed_sample(df, ["k"], 0.0).count() == 0 and keyed_sample(df, ["k"], 1.0).count() == 4000
+    assert keyed_sample(df.limit(0), ["k"], 0.5).count() == 0
