@@ -81,6 +81,10 @@ INLINE_STOPS = tuple(CONTAINERS | {"p", "li"})
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+|[^\W\d_]+")
 COMMENT_END = re.compile("--!?>")
 UNFINISHED = re.compile("<[a-zA-Z/!?]")
+# A start tag as the library gives it back as text when it cannot read it, and its attributes; a quote
+# that is never closed ends with the tag.
+LOOSE_TAG = re.compile(r"<([a-zA-Z][^\t\n\r\f />\x00]*)(.*?)(/?)>\Z", re.S)
+LOOSE_ATTR = re.compile(r"""([^\s/>][^\s/=>]*)(?:\s*=\s*(?:'([^']*)'?|"([^"]*)"?|([^\s>]*)))?""")
 # Characters of a line, not mostly links, that make a block prose.
 PROSE = 80
 # An article in an article that holds this share of its text is no comment.
@@ -113,6 +117,7 @@ class Lines(HTMLParser):
         self.in_blocks = self.in_headings = 0
         self.linked = 0  # characters of the line in links, without white space
         self.unended = False
+        self.starting = False  # within the library's reading of a start tag
 
     def read(self, page: str) -> None:
         """All of a page. What follows the last tag cannot be one; the parser would try again at every sign."""
@@ -135,6 +140,29 @@ class Lines(HTMLParser):
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)
 
+    def parse_starttag(self, i: int) -> int:
+        # Text given back for a start tag, at once or once the input has ended, is read as a tag if it can be.
+        self.starting = True
+        found = super().parse_starttag(i)
+        self.starting = found < 0
+        return found
+
+    def loose_starttag(self, data: str) -> bool:
+        """Read a start tag that the library gave back as text; whether it was one."""
+        found = LOOSE_TAG.match(data)
+        if not found:
+            return False
+        tag = found.group(1).lower()
+        attrs = [(m.group(1).lower(), next((unescape(v) for v in m.group(2, 3, 4) if v is not None), None))
+                 for m in LOOSE_ATTR.finditer(found.group(2))]
+        if found.group(3):
+            self.handle_startendtag(tag, attrs)
+        else:
+            self.handle_starttag(tag, attrs)
+            if tag in self.CDATA_CONTENT_ELEMENTS:
+                self.set_cdata_mode(tag)
+        return True
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in INLINE or tag in VOID:
@@ -201,6 +229,9 @@ class Lines(HTMLParser):
                     self.dropped.append((first, len(self.lines)))
 
     def handle_data(self, data: str) -> None:
+        starting, self.starting = self.starting, False
+        if starting and self.loose_starttag(data):
+            return
         if not self.skipping:
             self.text.append(data)
             if self.at.get("a"):

@@ -147,3 +147,12 @@ def test_query_gives_the_articles(spark, sf):
         inner = html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", re.sub(r"</?(p|h1)>", "\n", inner))))
         assert r.text == "\n".join(x for x in (" ".join(line.split()) for line in inner.split("\n")) if x)
         assert r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<p a="b>c</p>d', "c\nd"), ("<div class='x>y</div>z", "y\nz"), ("<script a='b>x</p></script><p>q</p>", "q"),
+    ("<p>a</p><br a='b/>c", "a\nc"),
+])
+def test_unclosed_quote_ends_with_its_tag(page, text):
+    """A start tag whose quote is never closed is markup, not text."""
+    assert html_text.main_text(page) == text
